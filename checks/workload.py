@@ -168,7 +168,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     paid = spark.sql(_fill(_PAYMENTS, _SPARK), events=table(spark, sf_dir, "events"))
-    return computed_once(paid, paid.columns)
+    return computed_once(paid)
 
 
 def _amount() -> Column:
@@ -314,4 +314,4 @@ def wire(paid: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
         F.col("event_id").alias("offset"),
         F.timestamp_micros(F.col("us") + 1_000_000).alias("timestamp"),
     )
-    return computed_once(records, records.columns)
+    return computed_once(records)

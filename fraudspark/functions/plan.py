@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def computed_once(df: DataFrame, columns: list[str]) -> DataFrame:
-    """The same rows with ``columns`` evaluated exactly once per row.
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows with every column evaluated exactly once per row.
 
     A filter on a computed column is normally pushed below the projection that computes it, which
     copies the whole expression into the filter; for long chains (parse, check, tokenise) that means
     parsing each message many times. A generator of one row per input row is a point that filters
     and projections above it do not cross.
     """
-    return df.select(F.inline(F.array(F.struct(*columns))))
+    return df.select(F.inline(F.array(F.struct(*df.columns))))

@@ -51,27 +51,6 @@ def looked_up(code: Column, table: Mapping[str, str], default: str | None = None
     return F.coalesce(F.try_element_at(pairs, code), F.lit(default))
 
 
-def json_has(doc: Column, path: str) -> Column:
-    """True where the path exists, also when it holds a JSON null."""
-    return F.try_variant_get(doc, path, "variant").isNotNull()
-
-
-def json_null(doc: Column, path: str) -> Column:
-    """True only for an explicit JSON null."""
-    return F.coalesce(F.is_variant_null(F.try_variant_get(doc, path, "variant")), F.lit(False))
-
-
-def json_read(places: list[tuple[Column, str]], kind: str = "string", default: Column | None = None) -> Column:
-    """First place that exists decides, even if it holds null; ``default`` if none exists."""
-    (doc, path), *rest = places
-    value = F.try_variant_get(doc, path, kind)
-    if not rest and default is None:
-        return value
-    fallback = json_read(rest, kind, default) if rest else default
-    # A value that is not null proves that the path exists; only null values need the second look.
-    return F.when(value.isNotNull() | json_has(doc, path), value).otherwise(fallback)
-
-
 def luhn_valid(digits: Column) -> Column:
     """Check-digit test of a card number."""
     return F.call_function("luhn_check", digits)

@@ -1,8 +1,9 @@
 """Raw provider messages to typed columns.
 
 All providers go through one projection: each output column is a CASE over the provider, so the
-input is read once and never fanned out per provider. JSON is held as VARIANT, which keeps apart a
-missing field (default applies), a JSON null (stays null) and a malformed number (parse failure).
+input is read once and never fanned out per provider. A message is decoded once, into text fields.
+Decoding cannot tell a missing field (its default applies) from an explicit JSON null (it stays
+null), so the names of the fields that a message sets to null are kept next to it.
 """
 
 from __future__ import annotations
@@ -14,19 +15,79 @@ from pyspark.sql import functions as F
 
 from fraudspark.config import FLUTTERWAVE, MASTERCARD, MPESA, PESAPAL, PROVIDERS, VISA
 from fraudspark.functions.plan import computed_once
-from fraudspark.functions.text import blank_to_null, is_filled, json_has, json_null, json_read
-
-# The message as sent, the message without its wrapper, and the part that holds the payment fields.
-ENVELOPE, MESSAGE, BODY = "_envelope", "_message", "_body"
-
-# Wrapper field of each provider that uses one (fixed values).
-WRAPPERS = {MPESA: "webhook_payload", FLUTTERWAVE: "webhook_payload", PESAPAL: "ipn_payload"}
-# Part of the message that holds the payment fields (fixed values).
-BODIES = {VISA: "$.bitmap", MASTERCARD: "$.bitmap", MPESA: "$.Body.stkCallback", FLUTTERWAVE: "$.data"}
+from fraudspark.functions.text import blank_to_null, is_filled
 
 PARSE_FAILURE = "Parse failure - unknown format"
 JSON_FAILURE = "JSON parse error"
 
+_CORRUPT = "_corrupt"
+_JSON_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": _CORRUPT}
+_NULLS = "_null_fields"
+
+
+def _names(names: str) -> dict[str, str]:
+    return dict.fromkeys(names.split(), "string")
+
+
+def _ddl(fields: dict) -> str:
+    return ", ".join(
+        f"{n}: struct<{_ddl(t)}>" if isinstance(t, dict) else f"{n}: {t}" for n, t in fields.items()
+    )
+
+
+# Field names of the messages (fixed values).
+_LABELS = _names("is_fraud risk_score fraud_pattern")
+_OUTER = _names("timestamp event_time_ms") | _LABELS
+_BITMAP = _names(
+    "DE002 DE003 DE004 DE011 DE018 DE022 DE032 DE033 DE041 DE042 DE043 DE049 message_type"
+)
+_CARD = (
+    _BITMAP
+    | _names(
+        "transaction_id source source_type timestamp event_time_ms pan amount currency_code merchant_id"
+        " terminal_id merchant_name mcc transaction_type pos_entry_mode stan acquirer_id forwarder_id"
+    )
+    | _LABELS
+    | {"bitmap": _BITMAP}
+)
+_MPESA = _names(
+    "source source_type TransactionType TransID TransTime MSISDN TransAmount BusinessShortCode"
+    " BillRefNumber InvoiceNumber ThirdPartyTransID TransactionReceipt FirstName LastName"
+) | {
+    "Body": {
+        "stkCallback": _names(
+            "CheckoutRequestID PhoneNumber Amount MerchantRequestID ResultCode ResultDesc"
+            " MpesaReceiptNumber"
+        )
+    }
+}
+_DATA = _names(
+    "tx_ref flw_ref amount currency status payment_type charge_type device_fingerprint auth_model"
+    " processor_response"
+) | {
+    "customer": _names("id email phone_number"),
+    "card": _names("first_6digits last_4digits"),
+    "authorization": _names("first_6digits last_4digits"),
+}
+# A message without a data part carries its fields itself.
+_FLW = _names("event event_type") | _DATA | {"data": _DATA}
+_IPN = _names(
+    "source source_type transaction_id pesapal_transaction_tracking_id pesapal_merchant_reference"
+    " payment_status status payment_method amount currency confirmation_code payment_account"
+    " customer_email customer_phone customer_first_name customer_last_name description timestamp"
+    " event_time_ms pesapal_notification_type pesapal_payment_id error_code error_message"
+)
+
+# Per message family: its providers, the wrapper it may come in, its fields, and the part of the
+# message that holds the payment (fixed values).
+FAMILIES = {
+    "_card": ((VISA, MASTERCARD), None, _CARD, "bitmap"),
+    "_mpesa": ((MPESA,), "webhook_payload", _MPESA, "Body.stkCallback"),
+    "_flw": ((FLUTTERWAVE,), "webhook_payload", _FLW, "data"),
+    "_ipn": ((PESAPAL,), "ipn_payload", _IPN, None),
+}
+FAMILY_OF = {p: f for f, (providers, *_) in FAMILIES.items() for p in providers}
+
 
 def per_provider(branches: dict[str, Column], default: Column | None = None) -> Column:
     """CASE over the provider column; providers not named get ``default`` (null)."""
@@ -36,15 +97,57 @@ def per_provider(branches: dict[str, Column], default: Column | None = None) ->
     return chain if default is None else chain.otherwise(default)
 
 
-def _read(*paths: str, kind: str = "string", default: Column | str | float | None = None) -> Column:
-    """``'.x'`` reads from the body, ``'^.x'`` from the message, ``'^^.x'`` from the envelope."""
-    places = []
-    for p in paths:
-        level = len(p) - len(p.lstrip("^"))
-        places.append((F.col((BODY, MESSAGE, ENVELOPE)[level]), "$" + p.lstrip("^")))
-    if default is not None and not isinstance(default, Column):
-        default = F.lit(default)
-    return json_read(places, kind, default)
+def _set_to_null(name: str) -> Column:
+    return F.coalesce(F.array_contains(_NULLS, name), F.lit(False))
+
+
+def _reader(provider: str):
+    """Field access for one provider: ``'.x'`` is in the body, ``'^.x'`` in the message, ``'^^.x'``
+    in the envelope. The first place that has the field decides, even if it holds a null."""
+    family = FAMILY_OF[provider]
+    _, wrapper, _, part = FAMILIES[family]
+
+    def at(view: str, name: str) -> Column:
+        envelope = F.col(f"{family}.{name}")
+        if view == "^^" or (view == "^" and wrapper is None):
+            return envelope
+        inside = f"{family}.{wrapper}" if wrapper else family
+        message = (
+            F.when(F.col(inside).isNotNull(), F.col(f"{inside}.{name}")).otherwise(envelope)
+            if wrapper and name in FAMILIES[family][2] or wrapper and "." in name
+            else envelope
+        )
+        if view == "^" or part is None:
+            return message
+        if provider == VISA:
+            return F.col(f"{family}.{part}.{name}")
+        if provider == MPESA:
+            return F.coalesce(F.col(f"{inside}.{part}.{name}"), F.col(f"{family}.{part}.{name}"))
+        if provider == MASTERCARD:
+            has_part = F.col(f"{family}.{part}")
+            return F.when(has_part.isNotNull(), has_part[name]).otherwise(envelope)
+        return (
+            F.when(F.col(f"{inside}.{part}").isNotNull(), F.col(f"{inside}.{part}.{name}"))
+            .when(F.col(inside).isNotNull(), F.col(f"{inside}.{name}"))
+            .when(F.col(f"{family}.{part}").isNotNull(), F.col(f"{family}.{part}.{name}"))
+            .otherwise(envelope)
+        )
+
+    def read(*places: str, default: Column | str | None = None) -> Column:
+        place, *rest = places
+        view, name = place[: -len(place.lstrip("^"))] , place.lstrip("^.")
+        value = at(view, name)
+        if rest:
+            fallback = read(*rest, default=default)
+        elif default is None:
+            return value
+        else:
+            fallback = default if isinstance(default, Column) else F.lit(default)
+        nothing = F.lit(None).cast("string")
+        given_null = _set_to_null(name.rsplit(".", 1)[-1])
+        return F.when(value.isNotNull(), value).when(given_null, nothing).otherwise(fallback)
+
+    return read
 
 
 def _record_time() -> Column:
@@ -52,7 +155,7 @@ def _record_time() -> Column:
 
 
 def _record_ms() -> Column:
-    return F.unix_millis(F.col("record_time"))
+    return F.unix_millis(F.col("record_time")).cast("string")
 
 
 def _content_id() -> Column:
@@ -67,57 +170,66 @@ def compact_time(text: Column) -> Column:
 
 
 def visa_fields() -> dict[str, Column]:
+    read = _reader(VISA)
     return {
-        "transaction_id": _read("^.transaction_id", default=_content_id()),
-        "source": _read("^.source", default="VISA_ISO8583"),
-        "source_type": _read("^.source_type"),
-        "message_type": _read("^.message_type"),
-        "timestamp": _read("^.timestamp", default=_record_time()),
-        "event_time_ms": _read("^.event_time_ms", kind="bigint", default=_record_ms()),
-        "pan": _read(".DE002"),
-        "amount": _read(".DE004", kind="double", default=0.0),
-        "currency_code": _read(".DE049", default="404"),
-        "merchant_id": _read(".DE042"),
-        "terminal_id": _read(".DE041"),
-        "merchant_name": _read(".DE043"),
-        "mcc": _read(".DE018"),
-        "transaction_type": _read(".DE003"),
-        "pos_entry_mode": _read(".DE022"),
-        "stan": _read(".DE011"),
-        "acquirer_id": _read(".DE032"),
+        "transaction_id": read("^.transaction_id", default=_content_id()),
+        "source": read("^.source", default="VISA_ISO8583"),
+        "source_type": read("^.source_type"),
+        "message_type": read("^.message_type"),
+        "timestamp": read("^.timestamp", default=_record_time()),
+        "event_time_ms": read("^.event_time_ms", default=_record_ms()),
+        "pan": read(".DE002"),
+        "amount": read(".DE004", default="0"),
+        "currency_code": read(".DE049", default="404"),
+        "merchant_id": read(".DE042"),
+        "terminal_id": read(".DE041"),
+        "merchant_name": read(".DE043"),
+        "mcc": read(".DE018"),
+        "transaction_type": read(".DE003"),
+        "pos_entry_mode": read(".DE022"),
+        "stan": read(".DE011"),
+        "acquirer_id": read(".DE032"),
     }
 
 
 def mastercard_fields() -> dict[str, Column]:
+    read = _reader(MASTERCARD)
     return {
-        "transaction_id": _read("^.transaction_id", default=_content_id()),
-        "source": _read("^.source", default="MASTERCARD_ISO8583"),
+        "transaction_id": read("^.transaction_id", default=_content_id()),
+        "source": read("^.source", default="MASTERCARD_ISO8583"),
         "source_type": F.lit("ISO_8583"),
-        "message_type": _read("^.message_type", ".message_type"),
-        "timestamp": _read("^.timestamp", default=_record_time()),
-        "event_time_ms": _read("^.event_time_ms", kind="bigint", default=_record_ms()),
-        "pan": F.coalesce(blank_to_null(_read(".DE002")), _read("^.pan")),
-        "amount": _read(".DE004", "^.amount", kind="double", default=0.0),
-        "currency_code": _read(".DE049", "^.currency_code", default="404"),
-        "merchant_id": _read(".DE042", "^.merchant_id"),
-        "terminal_id": _read(".DE041", "^.terminal_id"),
-        "merchant_name": _read(".DE043", "^.merchant_name"),
-        "mcc": _read(".DE018", "^.mcc"),
-        "transaction_type": _read(".DE003", "^.transaction_type"),
-        "pos_entry_mode": _read(".DE022", "^.pos_entry_mode"),
-        "stan": _read(".DE011", "^.stan"),
-        "acquirer_id": _read(".DE032", "^.acquirer_id"),
-        "forwarder_id": _read(".DE033", "^.forwarder_id"),
+        "message_type": read("^.message_type", ".message_type"),
+        "timestamp": read("^.timestamp", default=_record_time()),
+        "event_time_ms": read("^.event_time_ms", default=_record_ms()),
+        "pan": F.coalesce(blank_to_null(read(".DE002")), read("^.pan")),
+        "amount": read(".DE004", "^.amount", default="0"),
+        "currency_code": read(".DE049", "^.currency_code", default="404"),
+        "merchant_id": read(".DE042", "^.merchant_id"),
+        "terminal_id": read(".DE041", "^.terminal_id"),
+        "merchant_name": read(".DE043", "^.merchant_name"),
+        "mcc": read(".DE018", "^.mcc"),
+        "transaction_type": read(".DE003", "^.transaction_type"),
+        "pos_entry_mode": read(".DE022", "^.pos_entry_mode"),
+        "stan": read(".DE011", "^.stan"),
+        "acquirer_id": read(".DE032", "^.acquirer_id"),
+        "forwarder_id": read(".DE033", "^.forwarder_id"),
     }
 
 
 def _is_push_callback() -> Column:
     """The second mobile-money shape; the first one has a TransactionType."""
-    message = F.col(MESSAGE)
-    return ~json_has(message, "$.TransactionType") & json_has(message, "$.Body.stkCallback")
+    first_shape = _reader(MPESA)("^.TransactionType").isNotNull() | _set_to_null("TransactionType")
+    return ~first_shape & _push_part().isNotNull()
+
+
+def _push_part() -> Column:
+    return F.coalesce(
+        F.col("_mpesa.webhook_payload.Body.stkCallback"), F.col("_mpesa.Body.stkCallback")
+    )
 
 
 def mpesa_fields() -> dict[str, Column]:
+    read = _reader(MPESA)
     push = _is_push_callback()
 
     def shape(first: Column | None, second: Column | None) -> Column:
@@ -128,97 +240,99 @@ def mpesa_fields() -> dict[str, Column]:
 
     return {
         "transaction_id": shape(
-            _read("^.TransID", default=_content_id()), _read(".CheckoutRequestID", default=_content_id())
+            read("^.TransID", default=_content_id()), read(".CheckoutRequestID", default=_content_id())
         ),
-        "source": _read("^.source", "^.source_type", default="MPESA_DARAJA"),
+        "source": read("^.source", "^.source_type", default="MPESA_DARAJA"),
         "source_type": F.lit("MPESA_DARAJA"),
         "timestamp": F.coalesce(
-            F.when(~push, compact_time(_read("^.TransTime"))), _read("^^.timestamp"), _record_time()
+            F.when(~push, compact_time(read("^.TransTime"))), read("^^.timestamp"), _record_time()
         ),
-        "event_time_ms": F.coalesce(_read("^^.event_time_ms", kind="bigint"), _record_ms()),
-        "transaction_type": shape(_read("^.TransactionType"), F.lit("STKPush")),
-        "msisdn": shape(_read("^.MSISDN"), _read(".PhoneNumber")),
-        "amount": F.when(push, _read(".Amount", kind="double", default=0.0)).otherwise(
-            _read("^.TransAmount", kind="double", default=0.0)
+        "event_time_ms": F.coalesce(read("^^.event_time_ms"), _record_ms()),
+        "transaction_type": shape(read("^.TransactionType"), F.lit("STKPush")),
+        "msisdn": shape(read("^.MSISDN"), read(".PhoneNumber")),
+        "amount": F.when(push, read(".Amount", default="0")).otherwise(
+            read("^.TransAmount", default="0")
         ),
-        "business_shortcode": shape(_read("^.BusinessShortCode"), None),
-        "bill_ref_number": shape(_read("^.BillRefNumber"), None),
-        "invoice_number": shape(_read("^.InvoiceNumber"), None),
-        "third_party_trans_id": shape(_read("^.ThirdPartyTransID"), None),
-        "transaction_receipt": shape(_read("^.TransactionReceipt"), None),
-        "first_name": shape(_read("^.FirstName"), None),
-        "last_name": shape(_read("^.LastName"), None),
-        "merchant_request_id": shape(None, _read(".MerchantRequestID")),
-        "checkout_request_id": shape(None, _read(".CheckoutRequestID")),
-        "result_code": shape(None, _read(".ResultCode")),
-        "result_desc": shape(None, _read(".ResultDesc")),
-        "mpesa_receipt_number": shape(None, _read(".MpesaReceiptNumber")),
+        "business_shortcode": shape(read("^.BusinessShortCode"), None),
+        "bill_ref_number": shape(read("^.BillRefNumber"), None),
+        "invoice_number": shape(read("^.InvoiceNumber"), None),
+        "third_party_trans_id": shape(read("^.ThirdPartyTransID"), None),
+        "transaction_receipt": shape(read("^.TransactionReceipt"), None),
+        "first_name": shape(read("^.FirstName"), None),
+        "last_name": shape(read("^.LastName"), None),
+        "merchant_request_id": shape(None, read(".MerchantRequestID")),
+        "checkout_request_id": shape(None, read(".CheckoutRequestID")),
+        "result_code": shape(None, read(".ResultCode")),
+        "result_desc": shape(None, read(".ResultDesc")),
+        "mpesa_receipt_number": shape(None, read(".MpesaReceiptNumber")),
     }
 
 
 def flutterwave_fields() -> dict[str, Column]:
-    card = [_read(".card.first_6digits", default=""), _read(".card.last_4digits", default="")]
+    read = _reader(FLUTTERWAVE)
+    card = [read(".card.first_6digits", default=""), read(".card.last_4digits", default="")]
     other = [
-        _read(".authorization.first_6digits", default=""),
-        _read(".authorization.last_4digits", default=""),
+        read(".authorization.first_6digits", default=""),
+        read(".authorization.last_4digits", default=""),
     ]
     no_card = ~is_filled(card[0]) & ~is_filled(card[1])
-    flw_ref = _read(".flw_ref", "^.flw_ref", default="")
-    tx_ref = _read(".tx_ref", "^.tx_ref", default="")
+    flw_ref = read(".flw_ref", "^.flw_ref", default="")
+    tx_ref = read(".tx_ref", "^.tx_ref", default="")
     return {
         "transaction_id": F.coalesce(blank_to_null(flw_ref), blank_to_null(tx_ref), _content_id()),
         "source": F.lit(FLUTTERWAVE),
         "source_type": F.lit("WEBHOOK"),
-        "timestamp": F.coalesce(_read("^^.timestamp"), _record_time()),
-        "event_time_ms": F.coalesce(_read("^^.event_time_ms", kind="bigint"), _record_ms()),
-        "event": _read("^.event", "^.event_type", default=""),
+        "timestamp": F.coalesce(read("^^.timestamp"), _record_time()),
+        "event_time_ms": F.coalesce(read("^^.event_time_ms"), _record_ms()),
+        "event": read("^.event", "^.event_type", default=""),
         "tx_ref": tx_ref,
         "flw_ref": flw_ref,
         "bin": F.when(no_card, other[0]).otherwise(card[0]),
         "last4": F.when(no_card, other[1]).otherwise(card[1]),
-        "customer_id": F.coalesce(_read(".customer.id"), F.lit("")),
-        "customer_email": F.coalesce(_read(".customer.email"), F.lit("")),
-        "customer_phone": F.coalesce(_read(".customer.phone_number"), F.lit("")),
-        "amount": _read(".amount", "^.amount", kind="double", default=0.0),
-        "currency": _read(".currency", "^.currency", default="USD"),
-        "status": _read(".status", "^.status", default=""),
-        "payment_type": _read(".payment_type", "^.payment_type", default="card"),
-        "charge_type": _read(".charge_type", default=""),
-        "device_fingerprint": _read(".device_fingerprint"),
-        "auth_model": _read(".auth_model"),
-        "processor_response": _read(".processor_response"),
+        "customer_id": F.coalesce(read(".customer.id"), F.lit("")),
+        "customer_email": F.coalesce(read(".customer.email"), F.lit("")),
+        "customer_phone": F.coalesce(read(".customer.phone_number"), F.lit("")),
+        "amount": read(".amount", "^.amount", default="0"),
+        "currency": read(".currency", "^.currency", default="USD"),
+        "status": read(".status", "^.status", default=""),
+        "payment_type": read(".payment_type", "^.payment_type", default="card"),
+        "charge_type": read(".charge_type", default=""),
+        "device_fingerprint": read(".device_fingerprint"),
+        "auth_model": read(".auth_model"),
+        "processor_response": read(".processor_response"),
     }
 
 
 def pesapal_fields() -> dict[str, Column]:
-    tracking = _read(".pesapal_transaction_tracking_id")
+    read = _reader(PESAPAL)
+    tracking = read(".pesapal_transaction_tracking_id")
     return {
         "transaction_id": F.coalesce(
-            blank_to_null(tracking), _read(".transaction_id", default=_content_id())
+            blank_to_null(tracking), read(".transaction_id", default=_content_id())
         ),
-        "source": _read(".source", ".source_type", default="PESAPAL_IPN"),
+        "source": read(".source", ".source_type", default="PESAPAL_IPN"),
         "source_type": F.lit("IPN_CALLBACK"),
-        "timestamp": F.coalesce(_read(".timestamp"), _read("^^.timestamp"), _record_time()),
+        "timestamp": F.coalesce(read(".timestamp"), read("^^.timestamp"), _record_time()),
         "event_time_ms": F.coalesce(
-            _read(".event_time_ms", kind="bigint"), _read("^^.event_time_ms", kind="bigint"), _record_ms()
+            read(".event_time_ms"), read("^^.event_time_ms"), _record_ms()
         ),
-        "merchant_reference": _read(".pesapal_merchant_reference"),
+        "merchant_reference": read(".pesapal_merchant_reference"),
         "tracking_id": tracking,
-        "payment_status": _read(".payment_status", ".status", default="PENDING"),
-        "payment_method": _read(".payment_method", default="UNKNOWN"),
-        "amount": _read(".amount", kind="double", default=0.0),
-        "currency": _read(".currency", default="KES"),
-        "confirmation_code": _read(".confirmation_code"),
-        "payment_account": _read(".payment_account"),
-        "customer_email": _read(".customer_email"),
-        "customer_phone": _read(".customer_phone"),
-        "first_name": _read(".customer_first_name"),
-        "last_name": _read(".customer_last_name"),
-        "description": _read(".description"),
-        "pesapal_notification_type": _read(".pesapal_notification_type"),
-        "pesapal_payment_id": _read(".pesapal_payment_id"),
-        "error_code": _read(".error_code"),
-        "error_message": _read(".error_message"),
+        "payment_status": read(".payment_status", ".status", default="PENDING"),
+        "payment_method": read(".payment_method", default="UNKNOWN"),
+        "amount": read(".amount", default="0"),
+        "currency": read(".currency", default="KES"),
+        "confirmation_code": read(".confirmation_code"),
+        "payment_account": read(".payment_account"),
+        "customer_email": read(".customer_email"),
+        "customer_phone": read(".customer_phone"),
+        "first_name": read(".customer_first_name"),
+        "last_name": read(".customer_last_name"),
+        "description": read(".description"),
+        "pesapal_notification_type": read(".pesapal_notification_type"),
+        "pesapal_payment_id": read(".pesapal_payment_id"),
+        "error_code": read(".error_code"),
+        "error_message": read(".error_message"),
     }
 
 
@@ -231,84 +345,75 @@ FIELDS: dict[str, Callable[[], dict[str, Column]]] = {
 }
 
 
-def _is_json_object() -> Column:
-    return F.col(ENVELOPE).isNotNull() & F.ltrim(F.col("raw")).startswith("{")
-
-
-def parse_error(providers=PROVIDERS) -> Column:
-    """Why a message cannot be read at all, else null. Expects the parsed columns."""
-    message, body = F.col(MESSAGE), F.col(BODY)
-    unreadable = ~_is_json_object() | F.col("amount").isNull()
-    no_object = F.coalesce(F.is_variant_null(body), F.lit(True))
-    wrapped = F.coalesce(
-        *[
-            F.when(
-                (F.col("provider") == p) & json_has(F.col(ENVELOPE), f"$.{w}"),
-                F.col("raw").rlike(f'"{w}"\\s*:\\s*\\{{'),
-            )
-            for p, w in WRAPPERS.items()
-            if p in providers
-        ],
-        F.lit(True),
-    )
-    unknown_shape = ~json_has(message, "$.TransactionType") & ~_is_push_callback()
-    branches = {
-        VISA: F.when(
-            unreadable | json_null(message, "$.bitmap"), F.lit("Parse failure")
-        ),
-        MASTERCARD: F.when(unreadable | no_object | ~is_filled(F.col("pan")), F.lit(PARSE_FAILURE)),
-        MPESA: F.when(F.col(ENVELOPE).isNull(), F.lit(JSON_FAILURE)).when(
-            unreadable | ~wrapped | unknown_shape, F.lit(PARSE_FAILURE)
-        ),
-        FLUTTERWAVE: F.when(F.col(ENVELOPE).isNull(), F.lit(JSON_FAILURE)).when(
-            unreadable
-            | ~wrapped
-            | no_object
-            | json_null(body, "$.card")
-            | json_null(body, "$.customer"),
-            F.lit(PARSE_FAILURE),
-        ),
-        PESAPAL: F.when(unreadable | ~wrapped, F.lit(PARSE_FAILURE)),
-    }
-    return per_provider({p: branches[p] for p in providers}, F.lit("Unknown topic"))
+# Columns that are not text.
+_TYPES = {"amount": "double", "event_time_ms": "bigint", "is_fraud": "boolean", "risk_score": "double"}
 
 
-def open_messages(wire: DataFrame) -> DataFrame:
-    """Wire records with a value become text plus the three JSON views of the message."""
-    envelope, message = F.col(ENVELOPE), F.col(MESSAGE)
-    unwrapped = per_provider(
-        {p: F.try_variant_get(envelope, f"$.{w}", "variant") for p, w in WRAPPERS.items()}
-    )
-    inner = per_provider({p: F.try_variant_get(message, path, "variant") for p, path in BODIES.items()})
-    # A card message without a bitmap has an empty body for the first network and is its own body
-    # for the second one.
-    body = F.when(F.col("provider") == VISA, inner).otherwise(F.coalesce(inner, message))
-    return (
-        wire.where(F.col("value").isNotNull())
-        .withColumn("raw", F.col("value").cast("string"))
-        .withColumn(ENVELOPE, F.try_parse_json("raw"))
-        .withColumn(MESSAGE, F.coalesce(unwrapped, envelope))
-        .withColumn(BODY, body)
+def parse_error() -> Column:
+    """Why a message cannot be read at all, else null. Expects the decoded and parsed columns."""
+    raw = F.col("raw")
+    unreadable = F.col("amount").isNull() | ~F.rtrim(raw).endswith("}")
+    no_shape = _reader(MPESA)("^.TransactionType").isNull() & _push_part().isNull()
+
+    def reason(provider: str, extra: Column, text: str = PARSE_FAILURE, invalid: str | None = None) -> Column:
+        decoded = F.col(FAMILY_OF[provider])
+        said = F.lit(text)
+        if invalid:
+            said = F.when(F.try_parse_json(raw).isNull(), F.lit(invalid)).otherwise(said)
+        return F.when(
+            decoded.isNull() | decoded[_CORRUPT].isNotNull() | unreadable | extra, said
+        )
+
+    def nulls(*names: str) -> Column:
+        return F.coalesce(F.arrays_overlap(_NULLS, F.array(*map(F.lit, names))), F.lit(False))
+
+    return per_provider(
+        {
+            VISA: reason(VISA, nulls("bitmap"), "Parse failure"),
+            MASTERCARD: reason(MASTERCARD, nulls("bitmap") | ~is_filled(F.col("pan"))),
+            MPESA: reason(MPESA, nulls("webhook_payload") | no_shape, invalid=JSON_FAILURE),
+            FLUTTERWAVE: reason(
+                FLUTTERWAVE,
+                nulls("webhook_payload", "data", "card", "customer"),
+                invalid=JSON_FAILURE,
+            ),
+            PESAPAL: reason(PESAPAL, nulls("ipn_payload")),
+        },
+        F.lit("Unknown topic"),
     )
 
 
-def parse_messages(wire: DataFrame, providers=PROVIDERS) -> DataFrame:
+def decode_messages(wire: DataFrame) -> DataFrame:
+    """Wire records with a value become text plus one decoded struct per message family."""
+    raw = F.col("raw")
+    opened = wire.where(F.col("value").isNotNull()).withColumn("raw", F.col("value").cast("string"))
+    decoded = {}
+    for family, (providers, wrapper, fields, _) in FAMILIES.items():
+        whole = fields if wrapper is None else _OUTER | fields | {wrapper: fields}
+        schema = f"struct<{_ddl(whole | {_CORRUPT: 'string'})}>"
+        text = F.when(F.col("provider").isin(*providers), raw)
+        decoded[family] = F.from_json(text, schema, _JSON_OPTIONS)
+    null_fields = F.regexp_extract_all(raw, F.lit(r'"(\w+)"\s*:\s*null'), F.lit(1))
+    decoded[_NULLS] = F.when(raw.contains("null"), null_fields)
+    return opened.drop("key", "value").withColumns(decoded)
+
+
+def parse_messages(wire: DataFrame) -> DataFrame:
     """Parsed columns of every provider in one frame, with ``parse_error``.
 
     Input: ``provider, value, topic, partition, offset, timestamp`` (wire record, provider tagged).
     Records without a value are skipped.
     """
-    opened = open_messages(wire.withColumnRenamed("timestamp", "record_time"))
-    by_provider = {p: FIELDS[p]() for p in providers}
-    names = dict.fromkeys(n for fields in by_provider.values() for n in fields)
-    parsed = {
-        name: per_provider({p: f[name] for p, f in by_provider.items() if name in f}) for name in names
-    }
-    parsed |= {
-        "is_fraud": json_read([(F.col(ENVELOPE), "$.is_fraud")], "boolean"),
-        "risk_score": json_read([(F.col(ENVELOPE), "$.risk_score")], "double"),
-        "fraud_pattern": json_read([(F.col(ENVELOPE), "$.fraud_pattern")]),
-    }
-    checked = opened.withColumns(parsed).withColumn("parse_error", parse_error(providers))
-    views = (ENVELOPE, MESSAGE, BODY, "key", "value")
-    return computed_once(checked, [c for c in checked.columns if c not in views])
+    decoded = decode_messages(wire.withColumnRenamed("timestamp", "record_time"))
+    by_provider = {p: FIELDS[p]() for p in PROVIDERS}
+    for provider, fields in by_provider.items():
+        read = _reader(provider)
+        fields |= {n: read(f"^^.{n}") for n in _LABELS}
+    parsed = {}
+    for name in dict.fromkeys(n for fields in by_provider.values() for n in fields):
+        text = per_provider({p: f[name] for p, f in by_provider.items() if name in f})
+        parsed[name] = text.try_cast(_TYPES[name]) if name in _TYPES else text
+    checked = decoded.withColumns(parsed).withColumn("parse_error", parse_error())
+    return computed_once(checked.drop(*FAMILIES, _NULLS))
+
+

@@ -296,4 +296,4 @@ def tokenise_messages(validated: DataFrame, keep_names: bool = False) -> DataFra
         "offset",
         "record_time",
     )
-    return computed_once(out, out.columns)
+    return computed_once(out)
