@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
-
 from checks.workload import DUCKDB_PAYMENTS, DUCKDB_TRANSACTIONS
 from fraudspark.sources import refdata
 
@@ -151,7 +149,6 @@ def over_scored(sql: str) -> str:
 def mac(text: str) -> str:
     """Upper-case hex HMAC-SHA256 of a SQL text expression under the check key."""
     block = CHECK_KEY.ljust(64, b"\0")
-    assert len(block) == 64 and hashlib.sha256
     inner, outer = (bytes(b ^ x for b in block).hex() for x in (0x36, 0x5C))
     return (
         f"upper(sha256(unhex('{outer}') || unhex(sha256(unhex('{inner}') || CAST({text} AS BLOB)))))"
@@ -163,7 +160,7 @@ def luhn(digits: str) -> str:
     digit = f"CAST(substr({digits}, length({digits}) - i, 1) AS INT)"
     doubled = f"(CASE WHEN {digit} > 4 THEN 2 * {digit} - 9 ELSE 2 * {digit} END)"
     return (
-        f"list_sum(list_transform(range(length({digits})), i -> "
+        f"list_sum(list_transform(range(length({digits})), lambda i: "
         f"CASE WHEN i % 2 = 1 THEN {doubled} ELSE {digit} END)) % 10 = 0"
     )
 
@@ -193,10 +190,11 @@ def shaped(digits: str, letters: str) -> str:
 
 def _pan_reason(pan: str, checks: str) -> str:
     d = card_digits(pan)
+    safe = f"regexp_replace({d}, '[^0-9]', '0', 'g')"  # the engine may look at every branch
     return (
         f"CASE WHEN {pan} IS NULL OR {pan} = '' THEN 'PAN is empty' "
         f"WHEN NOT regexp_full_match({d}, '[0-9]+') THEN 'PAN must contain only digits' {checks} "
-        f"WHEN NOT ({luhn(f'regexp_replace({d}, chr(91) || chr(94) || chr(48) || chr(45) || chr(57) || chr(93), chr(48), chr(103))')}) "
+        f"WHEN NOT ({luhn(safe)}) "
         f"THEN 'PAN failed Luhn validation' END"
     )
 

@@ -11,9 +11,12 @@ from fraudspark.config import EngineConfig
 from fraudspark.functions import crypto
 from fraudspark.operators import features, parse, state, tokenise, validate, velocity
 from fraudspark.operators.joins import join_reference
+from fraudspark.operators.normalise import canonical_columns as normalised_columns
 from fraudspark.operators.normalise import normalise, with_usability
 from fraudspark.sources.refdata import ReferenceTables
-from fraudspark.sources.wire import tag_provider
+from fraudspark.sources.wire import decode_tokenised, tag_provider
+from fraudspark.streaming import sinks
+from fraudspark.streaming.velocity import stream_velocity
 
 
 def tokenise_wire(
@@ -73,3 +76,75 @@ def enrich(
     if device_history:
         moved = state.device_history(moved, config)
     return moved.transform(enrich_statelessly, refs, config).transform(score, config)
+
+
+def start_tokeniser(
+    wire: DataFrame,
+    secrets,
+    publish,
+    dead_letters,
+    checkpoint: str,
+    config: EngineConfig = EngineConfig(),
+    every: str | None = None,
+):
+    """Raw wire stream to tokenised records and dead letters, in one query.
+
+    ``publish`` and ``dead_letters`` append a batch frame to a sink (``sinks.append_to``).
+    """
+    routed = tokenise_wire(wire, secrets, config)
+    step = sinks.in_micro_batches(
+        lambda df, _: publish(sinks.tokenised_records(df, config.tokenised_topics)),
+        lambda df, _: dead_letters(sinks.tokeniser_dead_letters(df, config.dead_letter_topics)),
+    )
+    return sinks.start(routed, step, checkpoint, every)
+
+
+def start_enrichment(
+    wire: DataFrame,
+    refs: ReferenceTables,
+    publish,
+    dead_letters,
+    metrics,
+    checkpoint: str,
+    config: EngineConfig = EngineConfig(),
+    every: str | None = None,
+):
+    """Tokenised wire stream to enriched records, dead letters and metrics, in one query.
+
+    Velocity runs in the stream; reference joins, features and score run per micro-batch, with
+    exchange rates read again for each. Unusable rows skip velocity and go to the dead letters.
+    """
+    events = decode_tokenised(wire, config.tokenised_topics)
+    rows = events.select(
+        *normalised_columns(), F.col("error_reason").alias("_unreadable")
+    ).transform(with_usability)
+    rows = rows.withColumn("error_reason", F.coalesce("_unreadable", "error_reason")).drop("_unreadable")
+    usable = rows.where(F.col("error_reason").isNull()).drop("error_reason")
+    moved = stream_velocity(usable, config).drop("window")
+    failed = rows.where(F.col("error_reason").isNotNull())
+    stream = moved.unionByName(failed, allowMissingColumns=True)
+
+    def enriched(batch: DataFrame) -> DataFrame:
+        return (
+            batch.where(F.col("error_reason").isNull())
+            .drop("error_reason")
+            .transform(enrich_statelessly, refs, config)
+            .transform(score, config)
+        )
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        refs.refresh_fx()
+        kept = batch.persist()
+        try:
+            done = enriched(kept).persist()
+            try:
+                publish(sinks.enriched_records(done, config.enriched_topics))
+                metrics(done, batch_id)
+            finally:
+                done.unpersist()
+            bad = kept.where(F.col("error_reason").isNotNull())
+            dead_letters(sinks.enrichment_dead_letters(bad, config.enrichment_dlq_topic))
+        finally:
+            kept.unpersist()
+
+    return sinks.start(stream, run, checkpoint, every)
