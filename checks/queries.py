@@ -36,7 +36,6 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 CONFIG = replace(EngineConfig(), high_volume_merchant_over=o.VOLUME_OVER)
-SECONDS_PER_DAY = 86_400
 
 
 def query(name: str, sql: str | None = None):
@@ -267,10 +266,6 @@ def _live_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_LIVE_SQL = """live AS (SELECT currency, arg_max(amount, event_id) / 100 AS rate FROM t
-  WHERE currency IN ('KES', 'EUR', 'INR') AND amount > 50 GROUP BY currency)"""
-
-
 @query(
     "S10_fx_live_rates",
     o.over_joined(
@@ -288,7 +283,7 @@ def _s10(spark, sf_dir):
 @query(
     "S11_refresh_fx",
     o.over_joined(
-        "SELECT j.transaction_id, ROUND(j.amount * COALESCE(l.rate, j.fx_rate_to_usd), 4) AS amount_usd FROM j "
+        "SELECT j.transaction_id, ROUND(j.amount * COALESCE(l.rate, j.fx_rate_to_usd), 8) AS amount_usd FROM j "
         "LEFT JOIN (SELECT currency, arg_max(amount, event_id) / 100 AS rate FROM t "
         "WHERE currency IN ('KES', 'EUR', 'INR') AND amount > 50 GROUP BY currency) l ON j.currency = l.currency"
     ),
@@ -299,7 +294,7 @@ def _s11(spark, sf_dir):
     given.append(_live_rates(spark, sf_dir))
     refs.refresh_fx()
     return joins.join_fx(txns(spark, sf_dir), refs).select(
-        "transaction_id", F.round("amount_usd", 4).alias("amount_usd")
+        "transaction_id", F.round("amount_usd", 8).alias("amount_usd")
     )
 
 
@@ -318,7 +313,6 @@ def _s12(spark, sf_dir):
 
 # ---------------------------------------------------------------- parsing and checks
 
-_FAILED = "provider = '{p}' AND noise <> 13"
 _PARSED = "provider = '{p}' AND noise NOT IN (11, 13)"
 
 
@@ -1188,8 +1182,8 @@ def _w1(spark, sf_dir):
 @query(
     "W2_tumbling_windows",
     o.over_transactions(
-        "SELECT provider, (event_us // 300000000) * 300000000 AS window_us, COUNT(*) AS records FROM t GROUP BY ALL "
-        "HAVING (event_us // 300000000) * 300000000 + 300000000 <= (SELECT MAX(event_us) FROM t) - 60000000"
+        "SELECT * FROM (SELECT provider, (event_us // 300000000) * 300000000 AS window_us, COUNT(*) AS records "
+        "FROM t GROUP BY 1, 2) WHERE window_us + 300000000 <= (SELECT MAX(event_us) FROM t) - 60000000"
     ),
 )
 def _w2(spark, sf_dir):
@@ -1221,14 +1215,14 @@ def _x2(spark, sf_dir):
 @query(
     "job_enrich",
     o.over_scored(
-        "SELECT transaction_id, provider, composite_risk_score, ROUND(amount_usd, 4) AS amount_usd, is_international, "
+        "SELECT transaction_id, provider, composite_risk_score, ROUND(amount_usd, 8) AS amount_usd, is_international, "
         "card_txn_count_1hr, merchant_txn_count_1hr FROM s"
     ),
 )
 def job_enrich(spark, sf_dir):
     done = jobs.enrich(txns(spark, sf_dir), refdata.ReferenceTables(spark), CONFIG)
     return done.select(
-        "transaction_id", "provider", "composite_risk_score", F.round("amount_usd", 4).alias("amount_usd"),
+        "transaction_id", "provider", "composite_risk_score", F.round("amount_usd", 8).alias("amount_usd"),
         "is_international", "card_txn_count_1hr", "merchant_txn_count_1hr",
     )
 

@@ -24,23 +24,25 @@ _JSON = {"timestampFormat": _TIME}
 
 
 def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows), ignore_index=True).sort_values(["_us", "_id"], kind="stable")
+    # Columns arrive in order but without their names; the last three are time, id and row.
+    batch = pd.concat([pdf.iloc[:, -3:] for pdf in rows], ignore_index=True)
+    batch.columns = ["_us", "_id", "_row"]
+    return batch.sort_values(["_us", "_id"], kind="stable")
 
 
 class FirstSight(StatefulProcessor):
     """Flags rows whose key was seen before and is not expired. The state is the time it was set."""
 
-    def __init__(self, ttl_us: int | None):
-        self.ttl_us = ttl_us
+    def __init__(self, ttl_us: int | None, forget: bool):
+        self.ttl_us, self.forget = ttl_us, forget
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # The store forgets a key after the same span of processing time.
-        ttl_ms = None if self.ttl_us is None else self.ttl_us // 1000
+        ttl_ms = self.ttl_us // 1000 if self.forget else None
         self.set_at = handle.getValueState("set_at", "us bigint", ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows)
-        known = self.set_at.get() if self.set_at.exists() else None
+        known = self.set_at.get()
         before = None if known is None else known[0]
         at, flags = before, []
         for us in batch["_us"]:
@@ -68,7 +70,8 @@ class Trailing(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows)
-        times = list(self.recent.get()[0]) if self.recent.exists() else []
+        known = self.recent.get()
+        times = [] if known is None else list(known[0])
         fresh = [int(us) for us in batch["_us"]]
         times = sorted(times + fresh)
         counts = [
@@ -83,7 +86,7 @@ class Trailing(StatefulProcessor):
 
 def _through_state(
     df: DataFrame, keys: list[str], processor: StatefulProcessor, name: str, flag: T.DataType,
-    without_key, ts: str, row_id: str,
+    without_key, ts: str, row_id: str, time_mode: str = "None",
 ) -> DataFrame:
     us = F.unix_micros(F.col(ts))
     usable = us.isNotNull()
@@ -100,7 +103,7 @@ def _through_state(
         statefulProcessor=processor,
         outputStructType=T.StructType([T.StructField("_row", T.StringType()), T.StructField("_flag", flag)]),
         outputMode="Append",
-        timeMode="ProcessingTime",
+        timeMode=time_mode,
     )
     back = made.select(F.from_json("_row", df.schema, _JSON).alias("_r"), "_flag").select(
         "_r.*", F.col("_flag").alias(name)
@@ -115,16 +118,26 @@ def stream_seen_before(
     ttl_us: int | None = None,
     ts: str = "event_timestamp",
     row_id: str = "transaction_id",
+    forget: bool = False,
 ) -> DataFrame:
+    """Add ``name`` as in the table form; a key expires by event time.
+
+    With ``forget`` the store also drops a key after the same span of processing time, which keeps
+    the state of an always-on query small. Leave it off for ``availableNow`` runs: state that expires
+    by processing time makes Spark schedule empty batches without end.
+    """
+    forget = forget and ttl_us is not None
     return _through_state(
-        df, keys, FirstSight(ttl_us), name, T.BooleanType(), F.lit(None), ts, row_id
+        df, keys, FirstSight(ttl_us, forget), name, T.BooleanType(), F.lit(None), ts, row_id,
+        "ProcessingTime" if forget else "None",
     )
 
 
-def stream_device_history(df: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
-    return stream_seen_before(
-        df, ["customer_id", "device_fingerprint"], "device_seen_before", config.device_ttl_us
-    )
+def stream_device_history(
+    df: DataFrame, config: EngineConfig = EngineConfig(), forget: bool = False
+) -> DataFrame:
+    keys = ["customer_id", "device_fingerprint"]
+    return stream_seen_before(df, keys, "device_seen_before", config.device_ttl_us, forget=forget)
 
 
 def stream_merchant_first_seen(df: DataFrame) -> DataFrame:
