@@ -17,13 +17,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SALT, _SIZE = "_salt", "_group_rows"
+_SALT = "_salt"
 _SPREAD = 1 << 16
 
 
-def heavy_threshold(rows: DataFrame, max_hot: int, min_rows: int) -> Column:
-    """Group size above which fewer than ``max_hot`` groups can exist."""
-    total = rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+def heavy_threshold(source: DataFrame, max_hot: int, min_rows: int) -> Column:
+    """Group size above which fewer than ``max_hot`` groups of ``source`` can exist."""
+    total = source.agg(F.count(F.lit(1)).alias("n")).scalar()
     return F.greatest(F.lit(min_rows).cast("double"), total / F.lit(max_hot))
 
 
@@ -33,21 +33,26 @@ def attach(
     keys: list[str],
     size: str,
     spread_by: str,
+    source: DataFrame | None = None,
     max_hot: int = 100_000,
     min_rows: int = 50_000,
     drop_size: bool = True,
 ) -> DataFrame:
     """Left join ``rows`` with ``groups`` (one row per key; ``size`` counts its rows).
 
-    ``spread_by`` is a column with many values (an id) that spreads rows over salts.
+    ``spread_by`` is a column with many values (an id) that spreads rows over salts. ``source`` is
+    the frame that was grouped; it is counted for the threshold (default ``rows``).
     """
-    limit = heavy_threshold(rows, max_hot, min_rows)
+    limit = heavy_threshold(rows if source is None else source, max_hot, min_rows)
     values = [c for c in groups.columns if c not in keys]
     heavy = groups.where(F.col(size) > limit).select(
         *keys, F.struct(*values).alias("_heavy")
     )
+    # Always zero, but not a literal: the optimizer would fold a literal out of the join key, and
+    # rows would then be placed by the group key alone.
+    zero = F.least(F.col(size), F.lit(0)).cast("int")
     light = groups.where(F.col(size) <= limit).select(
-        *keys, F.struct(*values).alias("_light"), F.lit(0).alias(_SALT)
+        *keys, F.struct(*values).alias("_light"), zero.alias(_SALT)
     )
     no_key = F.lit(False)
     for k in keys:

@@ -69,16 +69,18 @@ def seen_before(
     ts: str = "event_timestamp",
     row_id: str = "transaction_id",
     config: EngineConfig = EngineConfig(),
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``name``: false on rows that set their key, true on the others, null without a key.
 
-    ``row_id`` must be unique; ties in time are broken by it.
+    ``row_id`` must be unique; ties in time are broken by it. ``source`` holds the same
+    transactions before other joins, and is what gets searched.
     """
     us = F.unix_micros(F.col(ts))
     usable = us.isNotNull()
     for k in keys:
         usable = usable & blank_to_null(F.col(k)).isNotNull()
-    events = df.where(usable).select(*keys, us.alias(_US), F.col(row_id).alias(_ID))
+    events = (df if source is None else source).where(usable).select(*keys, us.alias(_US), F.col(row_id).alias(_ID))
     setters = starts(events, keys, ttl_us, config).select(
         F.col(_ID).alias(row_id), F.lit(True).alias("_sets")
     )
@@ -90,13 +92,16 @@ def seen_before(
     )
 
 
-def device_history(df: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
+def device_history(
+    df: DataFrame, config: EngineConfig = EngineConfig(), source: DataFrame | None = None
+) -> DataFrame:
     return seen_before(
         df,
         ["customer_id", "device_fingerprint"],
         "device_seen_before",
         ttl_us=config.device_ttl_us,
         config=config,
+        source=source,
     )
 
 

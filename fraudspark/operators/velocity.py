@@ -88,25 +88,30 @@ def add_velocity(
     ts: str = "event_timestamp",
     row_id: str = "transaction_id",
     config: EngineConfig = EngineConfig(),
+    source: DataFrame | None = None,
 ) -> DataFrame:
-    """Add the measures of every window; rows without key or time count as one transaction."""
+    """Add the measures of every window; rows without key or time count as one transaction.
+
+    ``source`` holds the same transactions as ``df`` before other joins; it is what gets grouped, so
+    that a second window set does not run the joins of the first one again.
+    """
     width = base_width(windows)
-    timed = df.withColumn("_us", F.unix_micros(F.col(ts))).withColumn(
-        "_start", window_start(F.col("_us"), width)
-    )
+    source = df if source is None else source
+    us = F.unix_micros(F.col(ts))
     groups = window_results(
-        base_groups(timed, key, "_us", amount, width), key, windows, width
+        base_groups(source.withColumn("_us", us), key, "_us", amount, width), key, windows, width
     )
     joined = skew.attach(
-        timed,
+        df.withColumn("_start", window_start(us, width)),
         groups,
         [key, "_start"],
         size=_ROWS,
         spread_by=row_id,
+        source=source,
         max_hot=config.hot_groups_max,
         min_rows=config.hot_group_min_rows,
     )
-    return fill_counts(joined.drop("_us", "_start"), windows)
+    return fill_counts(joined.drop("_start"), windows)
 
 
 def fill_counts(df: DataFrame, windows: tuple[WindowSpec, ...]) -> DataFrame:
@@ -114,18 +119,24 @@ def fill_counts(df: DataFrame, windows: tuple[WindowSpec, ...]) -> DataFrame:
     return df.fillna({w.count: 1 for w in windows if w.count})
 
 
-def card_velocity(df: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
-    return add_velocity(df, "card_token", config.card_windows, config.velocity_amount, config=config)
+def card_velocity(
+    df: DataFrame, config: EngineConfig = EngineConfig(), source: DataFrame | None = None
+) -> DataFrame:
+    return add_velocity(
+        df, "card_token", config.card_windows, config.velocity_amount, config=config, source=source
+    )
 
 
-def merchant_velocity(df: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
+def merchant_velocity(
+    df: DataFrame, config: EngineConfig = EngineConfig(), source: DataFrame | None = None
+) -> DataFrame:
     return add_velocity(
-        df, "merchant_id", config.merchant_windows, config.velocity_amount, config=config
+        df, "merchant_id", config.merchant_windows, config.velocity_amount, config=config, source=source
     )
 
 
 def velocity(df: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
-    return df.transform(card_velocity, config).transform(merchant_velocity, config)
+    return df.transform(card_velocity, config, df).transform(merchant_velocity, config, df)
 
 
 def trailing_count(

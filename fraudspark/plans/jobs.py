@@ -74,7 +74,7 @@ def enrich(
     # The wide columns of the reference joins are added after the shuffles of velocity and history.
     moved = usable.transform(velocity.velocity, config)
     if device_history:
-        moved = state.device_history(moved, config)
+        moved = state.device_history(moved, config, source=usable)
     return moved.transform(enrich_statelessly, refs, config).transform(score, config)
 
 
