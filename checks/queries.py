@@ -70,7 +70,8 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return w.wire(w.payments(spark, sf_dir), CONFIG)
+    records = w.wire(w.payments(spark, sf_dir), CONFIG)
+    return wire.with_min_partitions(records, spark.sparkContext.defaultParallelism)
 
 
 def parsed(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
@@ -1197,6 +1198,34 @@ def _w2(spark, sf_dir):
     return _drained(counted, spark)
 
 
+@query("W3_timed_trigger", o.over_transactions("SELECT provider, COUNT(*) AS records FROM t GROUP BY provider"))
+def _w3(spark, sf_dir):
+    out = fresh_path(spark, "timed")
+    counted = sinks.batch_table(out)
+    started = sinks.start(
+        _event_stream(spark, sf_dir),
+        sinks.in_micro_batches(lambda df, i: counted(reports.records_per_provider(df), i)),
+        fresh_path(spark, "progress"),
+        every=CONFIG.trigger_interval,
+    )
+    try:
+        started.processAllAvailable()
+    finally:
+        started.stop()
+    return spark.read.parquet(out).groupBy("provider").agg(F.sum("records").alias("records"))
+
+
+@query("W4_checkpointed_append", o.over_transactions("SELECT transaction_id, amount FROM t"))
+def _w4(spark, sf_dir):
+    # The second run finds everything done in the checkpoint and adds nothing.
+    out, progress = fresh_path(spark, "appended"), fresh_path(spark, "progress")
+    append = sinks.append_to("parquet", path=out)
+    for _ in range(2):
+        stream = _event_stream(spark, sf_dir).select("transaction_id", "amount")
+        sinks.start(stream, sinks.in_micro_batches(lambda df, _: append(df)), progress).awaitTermination()
+    return spark.read.parquet(out)
+
+
 @query(
     "X2_micro_batch_metrics",
     o.over_joined("SELECT provider, COUNT(*) AS records, 0 AS high_risk FROM j GROUP BY provider"),

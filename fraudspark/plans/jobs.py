@@ -16,6 +16,7 @@ from fraudspark.operators.normalise import normalise, with_usability
 from fraudspark.sources.refdata import ReferenceTables
 from fraudspark.sources.wire import decode_tokenised, tag_provider
 from fraudspark.streaming import sinks
+from fraudspark.streaming.state import stream_device_history
 from fraudspark.streaming.velocity import stream_velocity
 
 
@@ -108,10 +109,11 @@ def start_enrichment(
     checkpoint: str,
     config: EngineConfig = EngineConfig(),
     every: str | None = None,
+    device_history: bool = True,
 ):
     """Tokenised wire stream to enriched records, dead letters and metrics, in one query.
 
-    Velocity runs in the stream; reference joins, features and score run per micro-batch, with
+    Device history and velocity run in the stream; reference joins, features and score run per micro-batch, with
     exchange rates read again for each. Unusable rows skip velocity and go to the dead letters.
     """
     events = decode_tokenised(wire, config.tokenised_topics)
@@ -120,6 +122,9 @@ def start_enrichment(
     ).transform(with_usability)
     rows = rows.withColumn("error_reason", F.coalesce("_unreadable", "error_reason")).drop("_unreadable")
     usable = rows.where(F.col("error_reason").isNull()).drop("error_reason")
+    if device_history:
+        # An always-on query may also let the store forget keys by processing time.
+        usable = stream_device_history(usable, config, forget=every is not None)
     moved = stream_velocity(usable, config).drop("window")
     failed = rows.where(F.col("error_reason").isNotNull())
     stream = moved.unionByName(failed, allowMissingColumns=True)

@@ -41,6 +41,17 @@ def read_table(
     return (reader if path is None else reader.schema(schemas.WIRE)).load(path)
 
 
+def with_min_partitions(records: DataFrame, wanted: int) -> DataFrame:
+    """Spread a table of few files over ``wanted`` tasks before costly per-message work.
+
+    The counterpart of the stream source's ``minPartitions``; a table that already has as many
+    partitions is left alone, so large inputs are not shuffled.
+    """
+    if records.rdd.getNumPartitions() >= wanted:
+        return records
+    return records.repartition(wanted, "offset")
+
+
 def provider_of_topic(topics: Mapping[str, str]) -> Column:
     chain = F
     for provider, topic in topics.items():
