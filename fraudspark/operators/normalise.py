@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fraudspark import schemas
 from fraudspark.config import FLUTTERWAVE, MASTERCARD, MPESA, PESAPAL, PROVIDERS, VISA
+from fraudspark.functions.plan import built_once
 from fraudspark.functions.text import looked_up
 from fraudspark.operators.parse import per_provider
 from fraudspark.sources.refdata import CURRENCY_ROWS
@@ -111,6 +112,7 @@ def mappings() -> dict[str, dict[str, Column]]:
     }
 
 
+@built_once
 def canonical_columns() -> list[Column]:
     by_provider = mappings()
     shared = {

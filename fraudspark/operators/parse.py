@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fraudspark.config import FLUTTERWAVE, MASTERCARD, MPESA, PESAPAL, PROVIDERS, VISA
-from fraudspark.functions.plan import computed_once
+from fraudspark.functions.plan import built_once, computed_once
 from fraudspark.functions.text import blank_to_null, is_filled
 
 PARSE_FAILURE = "Parse failure - unknown format"
@@ -349,6 +349,7 @@ FIELDS: dict[str, Callable[[], dict[str, Column]]] = {
 _TYPES = {"amount": "double", "event_time_ms": "bigint", "is_fraud": "boolean", "risk_score": "double"}
 
 
+@built_once
 def parse_error() -> Column:
     """Why a message cannot be read at all, else null. Expects the decoded and parsed columns."""
     raw = F.col("raw")
@@ -398,13 +399,9 @@ def decode_messages(wire: DataFrame) -> DataFrame:
     return opened.drop("key", "value").withColumns(decoded)
 
 
-def parse_messages(wire: DataFrame) -> DataFrame:
-    """Parsed columns of every provider in one frame, with ``parse_error``.
-
-    Input: ``provider, value, topic, partition, offset, timestamp`` (wire record, provider tagged).
-    Records without a value are skipped.
-    """
-    decoded = decode_messages(wire.withColumnRenamed("timestamp", "record_time"))
+@built_once
+def parsed_columns() -> dict[str, Column]:
+    """Each parsed column as a CASE over the providers that have it."""
     by_provider = {p: FIELDS[p]() for p in PROVIDERS}
     for provider, fields in by_provider.items():
         read = _reader(provider)
@@ -413,7 +410,17 @@ def parse_messages(wire: DataFrame) -> DataFrame:
     for name in dict.fromkeys(n for fields in by_provider.values() for n in fields):
         text = per_provider({p: f[name] for p, f in by_provider.items() if name in f})
         parsed[name] = text.try_cast(_TYPES[name]) if name in _TYPES else text
-    checked = decoded.withColumns(parsed).withColumn("parse_error", parse_error())
+    return parsed
+
+
+def parse_messages(wire: DataFrame) -> DataFrame:
+    """Parsed columns of every provider in one frame, with ``parse_error``.
+
+    Input: ``provider, value, topic, partition, offset, timestamp`` (wire record, provider tagged).
+    Records without a value are skipped.
+    """
+    decoded = decode_messages(wire.withColumnRenamed("timestamp", "record_time"))
+    checked = decoded.withColumns(parsed_columns()).withColumn("parse_error", parse_error())
     return computed_once(checked.drop(*FAMILIES, _NULLS))
 
 

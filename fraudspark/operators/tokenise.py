@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fraudspark import schemas
 from fraudspark.config import FLUTTERWAVE, MASTERCARD, MPESA, PESAPAL, VISA
 from fraudspark.functions import crypto
-from fraudspark.functions.plan import computed_once
+from fraudspark.functions.plan import built_once, computed_once
 from fraudspark.functions.text import (
     blank_to_null,
     card_digits,
@@ -147,6 +147,7 @@ def mastercard_currency(code: Column) -> Column:
 _MACS = ("_mac_1", "_mac_2", "_mac_3", "_mac_4")
 
 
+@built_once
 def _secrets() -> tuple[Column, ...]:
     c = F.col
     digits = card_digits(c("pan"))
@@ -180,6 +181,7 @@ def _secrets() -> tuple[Column, ...]:
     return first, second, third, fourth
 
 
+@built_once
 def _token_columns() -> dict[str, Column]:
     c = F.col
     m1, m2, m3, m4 = (c(m) for m in _MACS)
@@ -208,6 +210,7 @@ def _token_columns() -> dict[str, Column]:
     }
 
 
+@built_once
 def _other_columns() -> dict[str, Column]:
     c = F.col
     digits = card_digits(c("pan"))
@@ -251,6 +254,7 @@ def _other_columns() -> dict[str, Column]:
     }
 
 
+@built_once
 def message_key() -> Column:
     """Partition key of the published event: the first token present, else the transaction id."""
     c = F.col
