@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudspark.llm import decontaminate, sentencepiece_bpe
+from fraudspark.llm import decontaminate, digest_index, hash_tree, sentencepiece_bpe
 from fraudspark.llm.shared import table
 
 
@@ -21,8 +21,21 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_index.deduplicate(table(spark, sf_dir, "documents"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.shard_rows(table(spark, sf_dir, "documents"), shards=40)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op6_exact_dedup": op6_exact_dedup,
+    "op10_sharding": op10_sharding,
+}
+ORACLES: dict[str, str] = {
+    "op6_exact_dedup": digest_index.SQL,
+    "op10_sharding": hash_tree.sql(40),
 }
-ORACLES: dict[str, str] = {}
