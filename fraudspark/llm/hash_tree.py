@@ -137,14 +137,22 @@ def sql(shards: int = 40) -> str:
         cases = " ".join(f"WHEN {n} THEN {choice(c)}" for n, c in enumerate(node.children, 1))
         return f"CASE list_position([{draws}], list_min([{draws}])) {cases} END"
 
+    crc = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        crc.append(byte)
     return f"""
 WITH rows AS (
   SELECT doc_id, coalesce(CAST(doc_id AS VARCHAR), '') AS k, coalesce(text, '') AS t FROM documents),
 placed AS (
   SELECT doc_id, k, CAST(octet_length(encode(t)) + 16 AS BIGINT) AS size,
          CAST({choice(tree(shards))} AS INTEGER) AS shard,
-         CAST({choice(tree(shards + 1))} AS INTEGER) AS grown_shard
+         CAST({choice(tree(shards + 1))} AS INTEGER) AS grown_shard,
+         xor(4294967295, list_reduce(
+           [4294967295] || list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda x: CAST('0x' || x AS BIGINT)),
+           lambda c, b: xor(c >> 8, ({crc}::BIGINT[])[xor(c & 255, b) + 1]))) AS text_crc32
   FROM rows)
-SELECT doc_id, size, 'key' AS law, shard, grown_shard,
-       CAST(row_number() OVER (PARTITION BY shard ORDER BY md5(k), doc_id, size) - 1 AS BIGINT) AS slot
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, grown_shard,
+       CAST(row_number() OVER (PARTITION BY shard ORDER BY md5(k), doc_id, text_crc32, size) - 1 AS BIGINT) AS slot
 FROM placed"""
