@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudspark.llm import decontaminate, digest_index, hash_tree, sentencepiece_bpe
+from fraudspark.llm import decontaminate, digest_index, hash_tree, repeated_phrases, sentencepiece_bpe
 from fraudspark.llm.shared import table
 
 
@@ -21,6 +21,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_phrases.digest(repeated_phrases.remove_repeats(table(spark, sf_dir, "documents"), window=13))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.deduplicate(table(spark, sf_dir, "documents"))
 
@@ -32,6 +36,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_substring_dedup": op4_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op10_sharding": op10_sharding,
 }
