@@ -8,8 +8,8 @@ shuffle. Both are appended, the known ones as a further row of their digest, bec
 have the larger id. ``resolve`` sums the rows of a digest up, again without a shuffle.
 
 Hot texts: groups are pre-aggregated before the shuffle. Rows get their group back by a sort-merge
-join, but groups of more than a ``1 / HEAVY`` share of all rows, fewer than ``HEAVY`` by counting,
-are broadcast instead, so no task gets all copies of one text.
+join, but the few very large groups are broadcast instead (``shared.attach``), so no task gets all
+copies of one text.
 
 Defined cases: a null text equals an empty one; rows that share the largest id of their text are
 all kept; rows without id are kept only where no id is largest, that is, never: they are copies, and
@@ -26,8 +26,6 @@ from pyspark.sql import functions as F
 from fraudspark.llm import shared
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Groups larger than this share of the rows are broadcast; there are fewer than so many.
-HEAVY = 1000
 
 
 def digest(text: Column) -> Column:
@@ -84,13 +82,7 @@ class DigestIndex:
 
 def mark(digests: DataFrame, index: DigestIndex) -> DataFrame:
     """Every digested row with its group: the id that stays, the size, and whether it stays."""
-    groups = index.resolve()
-    heavy_rows = digests.count() // HEAVY
-    heavy = groups.where(F.col("group_size") > heavy_rows)
-    light = groups.where(F.col("group_size") <= heavy_rows)
-    marked = digests.join(F.broadcast(heavy), "text_sha256", "left")
-    rest = marked.where("group_size is null").select("doc_id", "text_sha256")
-    joined = marked.where("group_size is not null").unionByName(rest.join(light.hint("merge"), "text_sha256"))
+    joined = shared.attach(digests, index.resolve(), "text_sha256", "group_size")
     return joined.select(
         "doc_id",
         "keep_id",

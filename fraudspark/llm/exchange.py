@@ -1,4 +1,4 @@
-"""What a block of documents needs to know of the whole corpus about each of its 64-bit keys.
+"""What a block of documents needs to know of the whole corpus about each of its hashed keys.
 
 Documents are dealt into blocks of some megabytes by a hash of their id. A block sends each distinct
 key it holds once, with a number per key, packed by part (a hash of the key): few large rows instead
@@ -64,8 +64,10 @@ def packed(block: int, keys: np.ndarray, parts_of: np.ndarray, numbers: np.ndarr
     )
 
 
-def answered(keyed: DataFrame, answer: Callable[[np.ndarray, np.ndarray, pa.Table], pa.Table]) -> DataFrame:
-    """Let each part answer all blocks.
+def answered(
+    keyed: DataFrame, answer: Callable[[np.ndarray, np.ndarray, pa.Table], pa.Table], kind: type = np.uint64
+) -> DataFrame:
+    """Let each part answer all blocks; ``kind`` is the type of the keys.
 
     ``answer`` gets, for the keys of a part laid end to end, the group number of each key (equal keys
     have one number, ascending) and where each block's row begins, and the part itself.
@@ -73,7 +75,7 @@ def answered(keyed: DataFrame, answer: Callable[[np.ndarray, np.ndarray, pa.Tabl
 
     def combine(part: pa.Table) -> pa.Table:
         part = part.combine_chunks()
-        rows = [np.frombuffer(k.as_py(), np.uint64) for k in part["keys"]]
+        rows = [np.frombuffer(k.as_py(), kind) for k in part["keys"]]
         _, group = np.unique(np.concatenate(rows), return_inverse=True)
         return answer(group, np.cumsum([0] + [len(r) for r in rows]), part)
 

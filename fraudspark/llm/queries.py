@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudspark.llm import decontaminate, digest_index, hash_tree, repeated_phrases, sentencepiece_bpe
+from fraudspark.llm import decontaminate, digest_index, hash_tree, jaccard_join, repeated_phrases, sentencepiece_bpe
 from fraudspark.llm.shared import table
 
 
@@ -17,6 +17,10 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(table(spark, sf_dir, "documents"), n=5, percent=80)
+
+
 def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -35,6 +39,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,

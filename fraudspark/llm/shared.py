@@ -57,3 +57,27 @@ def held_out(modulus: int, remainder: int) -> Column:
     """Whether crc32 of the document's id as text leaves this remainder."""
     crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     return F.pmod(crc, F.lit(modulus)) == remainder
+
+
+#: Groups of more than this share of the rows are broadcast; there are fewer than so many.
+HEAVY = 1000
+
+
+def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Left-join each row's group, where ``size`` is the number of rows of a group.
+
+    A group of more than a ``1 / HEAVY`` share of all rows goes to its rows by broadcast: by counting
+    there are fewer than ``HEAVY``. Rows without key are joined with nothing.
+    """
+    most = rows.count() // HEAVY
+    marked = rows.where(F.col(key).isNotNull()).join(
+        F.broadcast(groups.where(F.col(size) > most)), key, "left"
+    )
+    light = groups.where(F.col(size) <= most)
+    rest = marked.where(F.col(size).isNull()).select(rows.columns)
+    none = rows.where(F.col(key).isNull())
+    return (
+        marked.where(F.col(size).isNotNull())
+        .unionByName(rest.join(light.hint("merge"), key, "left"))
+        .unionByName(none, allowMissingColumns=True)
+    )
