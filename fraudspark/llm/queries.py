@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudspark.llm import decontaminate, digest_index, hash_tree, jaccard_join, repeated_phrases, sentencepiece_bpe
+from fraudspark.llm import decontaminate, digest_index, hash_tree, jaccard_join, line_dedup, repeated_phrases, sentencepiece_bpe
 from fraudspark.llm.shared import table
 
 
@@ -33,6 +33,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_rows(table(spark, sf_dir, "documents"), shards=40)
 
@@ -43,9 +47,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
 }
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": digest_index.SQL,
+    "op9_line_dedup": line_dedup.SQL,
     "op10_sharding": hash_tree.sql(40),
 }
