@@ -33,11 +33,21 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
+#: Bytes of letters: a-z, A-Z and all of other alphabets.
+LETTER = np.zeros(256, dtype=bool)
+LETTER[65:91] = LETTER[97:123] = LETTER[128:] = True
+
+
 class Words(NamedTuple):
-    """Words of several texts: text k has the words ``first[k]`` to ``first[k + 1]``."""
+    """Words of several texts: text k has the words ``first[k]`` to ``first[k + 1]``.
+
+    ``chars`` holds the bytes of all words end to end, each beginning at its ``packed``.
+    """
 
     hashes: np.ndarray
     first: np.ndarray
+    chars: np.ndarray
+    packed: np.ndarray
 
 
 def powers(base: np.uint64, n: int) -> np.ndarray:
@@ -46,10 +56,10 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
-    """Hash every run of bytes other than ASCII white space; texts end at their offsets."""
+def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool, letters: bool = False) -> Words:
+    """Hash every run of bytes other than ASCII white space, or of letters; texts end at their offsets."""
     n_texts = len(offsets) - 1
-    inside = ~_SPACE[data]
+    inside = LETTER[data] if letters else ~_SPACE[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = offsets[:-1][offsets[:-1] < offsets[1:]]
@@ -57,13 +67,14 @@ def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool) -> Words:
     starts = np.flatnonzero(begins)
     first = np.searchsorted(starts, offsets).astype(np.int64)
     if not len(starts):
-        return Words(np.zeros(0, np.uint64), np.zeros(n_texts + 1, np.int64))
+        none = np.zeros(0, np.int64)
+        return Words(np.zeros(0, np.uint64), np.zeros(n_texts + 1, np.int64), data[:0], none)
     chars = data[inside]
     packed = np.cumsum(inside)[starts] - 1
     lengths = np.diff(np.append(packed, len(chars)))
     place = np.arange(len(chars)) - np.repeat(packed, lengths)
     values = (_LOWER if lower else _PLAIN)[chars] * powers(_BASE, int(lengths.max()))[place]
-    return Words(mix(np.add.reduceat(values, packed), 1), first)
+    return Words(mix(np.add.reduceat(values, packed), 1), first, chars, packed)
 
 
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
