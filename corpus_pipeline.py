@@ -1,12 +1,72 @@
-"""A training-corpus pipeline over ``documents``; every stage calls one operator of fraudspark.llm."""
+"""A training-corpus pipeline over ``documents``; every stage calls one operator of fraudspark.llm.
+
+Each stage gets what its predecessor kept, as a table in the shared folder. All but the last return
+the columns of ``documents``. Rows without an id pass the stages that drop rows by id.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from fraudspark.llm import decontaminate, jaccard_join, language_id, line_dedup, sentencepiece_bpe, shared
+
+#: A document is rejected without a letter, or if the best language has less probability than this.
+LEAST_SCORE = 0.3
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep documents in one of the learned languages."""
+    found = language_id.predicted(spark, language_id.fitted(docs), F.col("text"))
+    kept = docs.select(*docs.columns, found.alias("__found")).where(
+        (F.col("__found.lang_pred") != language_id.UNKNOWN) & (F.col("__found.score") >= LEAST_SCORE)
+    )
+    return kept.select(docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Reduce every text to its first occurrences of lines; all documents stay."""
+    reduced = line_dedup.remove_repeated_lines(docs)
+    return reduced.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document of the smallest id of each group of linked documents."""
+    joined = jaccard_join.jaccard_join(docs, n=5, percent=80)
+    return docs.join(joined.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
+def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that hold a passage of the benchmark."""
+    found = decontaminate.decontaminate(docs, shared.table(spark, sf_dir, "benchmark"))
+    return docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every text, with the digests of the ids and of the text decoded from them."""
+    return sentencepiece_bpe.encode(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", identify_language),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard", drop_near_copies),
+    ("decontamination", drop_benchmark_copies),
+    ("sentencepiece", tokenize),
+]
+
+#: Learned languages and token ids can't be had from SQL; tests compare with brute force instead.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each written to the shared folder and read again."""
+    docs = shared.table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = shared.stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudspark.llm import gru, shared, words
@@ -149,38 +149,43 @@ def sample(docs: DataFrame, learn: Column) -> list[tuple[str, str]]:
     return out
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id``, ``lang_pred`` and ``score`` of every row."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = sent.value
-        for batch in batches:
-            data, offsets = words.texts_of(batch["text"])
-            names, scores = [], []
-            for a, b in words.slices(offsets):
-                text, ends = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-                pooled = model.pooled(text, ends) if model.langs else np.zeros((b - a, 1))
-                for k, row in enumerate(pooled):
-                    known = row.any() and any(map(str.isalpha, text[ends[k] : ends[k + 1]].tobytes().decode("utf-8", "replace")))
-                    names.append(model.langs[int(row.argmax())] if known else UNKNOWN)
-                    scores.append(float(min(row.max(), 1.0)) if known else 0.0)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch["doc_id"].cast(pa.int64()),
-                    "held_out": batch["held_out"],
-                    "lang_pred": pa.array(names, pa.string()),
-                    "score": pa.array(scores, pa.float64()),
-                }
-            )
-
-    return docs.select("doc_id", "held_out", shared.binary_text()).mapInArrow(
-        label, "doc_id bigint, held_out boolean, lang_pred string, score double"
+def label(model: Model, texts: pa.Array) -> pa.StructArray:
+    """``lang_pred`` and ``score`` of each text, given as bytes."""
+    data, offsets = words.texts_of(texts)
+    names, scores = [], []
+    for a, b in words.slices(offsets):
+        text, ends = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+        pooled = model.pooled(text, ends) if model.langs else np.zeros((b - a, 1))
+        for k, row in enumerate(pooled):
+            own = text[ends[k] : ends[k + 1]].tobytes().decode("utf-8", "replace")
+            known = row.any() and any(map(str.isalpha, own))
+            names.append(model.langs[int(row.argmax())] if known else UNKNOWN)
+            scores.append(float(min(row.max(), 1.0)) if known else 0.0)
+    return pa.StructArray.from_arrays(
+        [pa.array(names, pa.string()), pa.array(scores, pa.float64())], ["lang_pred", "score"]
     )
 
 
+def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
+    """A struct column of ``lang_pred`` and ``score``."""
+    sent = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("lang_pred string, score double")
+    def named(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield label(sent.value, texts)
+
+    return named(text.cast("binary"))
+
+
+def fitted(docs: DataFrame) -> Model:
+    """A model of the rows that aren't held out."""
+    return train(sample(docs, ~shared.held_out(5, 0)))
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """Train on the rows that aren't held out and label all rows."""
-    held_out = shared.held_out(5, 0)
-    model = train(sample(docs, ~held_out))
-    return predict(docs.withColumn("held_out", held_out), model)
+    found = predicted(docs.sparkSession, fitted(docs), F.col("text"))
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), shared.held_out(5, 0).alias("held_out"), found.alias("found")
+    ).select("doc_id", "held_out", "found.*")

@@ -7,7 +7,19 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from fraudspark.llm import decontaminate, digest_index, hash_tree, jaccard_join, line_dedup, repeated_phrases, sentencepiece_bpe
+import corpus_pipeline
+from fraudspark.llm import (
+    decontaminate,
+    digest_index,
+    hash_tree,
+    jaccard_join,
+    language_id,
+    line_dedup,
+    quality,
+    repeated_phrases,
+    sentencepiece_bpe,
+    toxicity,
+)
 from fraudspark.llm.shared import table
 
 
@@ -29,10 +41,22 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_phrases.digest(repeated_phrases.remove_repeats(table(spark, sf_dir, "documents"), window=13))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.deduplicate(table(spark, sf_dir, "documents"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -46,9 +70,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_language_id": op5_language_id,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
     "op6_exact_dedup": digest_index.SQL,

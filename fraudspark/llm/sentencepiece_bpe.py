@@ -26,12 +26,9 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
 
 SPACE = "▁"
 CACHED_PIECES = 800_000
@@ -228,38 +225,33 @@ def model(path: str) -> Bpe:
 
 
 def encode(docs: DataFrame, model_path: str) -> DataFrame:
-    """All columns of the documents and ``ids`` (array<int>) of every whole text."""
-    @F.pandas_udf(ArrayType(IntegerType()))
-    def ids(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        bpe = model(model_path)
-        for part in texts:
-            yield pd.Series([np.frombuffer(bpe.encode(t or ""), "<i4") for t in part])
-
-    return docs.withColumn("ids", ids("text"))
-
-
-def digest(docs: DataFrame, model_path: str) -> DataFrame:
-    """Encode and decode every text; counts and digests of both."""
+    """Per document its ``ids``, begin and end included, their number, the digest of the ids and that
+    of the text decoded from them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = model(model_path)
         for batch in batches:
-            n_tokens, ids_sha, text_sha = [], [], []
-            for text in batch["text"]:
-                packed = bpe.encode(text.as_py() or "")
-                n_tokens.append(len(packed) // 4)
-                ids_sha.append(hashlib.sha256(packed).hexdigest())
-                ids = memoryview(packed).cast("I").tolist()
-                text_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch["doc_id"].cast(pa.int64()),
-                    "n_tokens": pa.array(n_tokens, pa.int64()),
-                    "ids_sha256": pa.array(ids_sha, pa.string()),
-                    "decoded_sha256": pa.array(text_sha, pa.string()),
-                }
-            )
+            # Some hundred texts at a time, so that a batch's ids don't pile up.
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                packed = [bpe.encode(text.as_py() or "") for text in part["text"]]
+                ids = np.frombuffer(b"".join(packed), "<i4")
+                ends = np.cumsum([0] + [len(p) // 4 for p in packed])
+                decoded = [bpe.decode(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "doc_id": part["doc_id"].cast(pa.int64()),
+                        "n_tokens": pa.array(np.diff(ends), pa.int64()),
+                        "ids_sha256": pa.array([hashlib.sha256(p).hexdigest() for p in packed]),
+                        "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in decoded]),
+                        "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
+                    }
+                )
 
     return docs.select("doc_id", "text").mapInArrow(
-        work, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        work, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids array<int>"
     )
+
+
+def digest(docs: DataFrame, model_path: str) -> DataFrame:
+    return encode(docs, model_path).drop("ids")
