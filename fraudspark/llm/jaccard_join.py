@@ -8,11 +8,11 @@ nothing else has no partner and is out at once.
 
 1. Equal sets become one: the smallest document id stands for them.
 2. The corpus frequency of every n-gram comes from ``exchange``; each set gets its prefixes.
-3. Pairs that share a prefix n-gram of the first order are compared in rounds. In a round every
-   prefix list has some pivots, each paired with the members of other components only; then pivots
-   leave the list. The number of pivots grows from round to round, so a list takes few rounds, and a
-   list whose members are all in one component is done. A group of n near copies thus costs about n
-   pairs, not n * n, and no two sets that might be the only link between components are skipped.
+3. Candidates share a prefix n-gram of the first order. Long lists first: each is compared with one
+   pivot, which joins most of a group of near copies at the cost of one pair per member. Lists that
+   then still hold several components make clusters, whose sets are compared in blocks, and only
+   where they aren't connected yet. Pairs are never written out, and none that might be the only link
+   between two components is skipped.
 4. A pair is dropped unless its prefixes of all other orders meet too, then verified exactly.
 
 Defined cases: a null or wordless text has an empty set and links nothing; a text of fewer words
@@ -33,8 +33,8 @@ from fraudspark.llm import exchange, shared, words
 from fraudspark.llm.components import components
 
 ORDERS = 3
-#: Pivots of a list in the first round, and how they grow.
-GROWTH = 16
+#: Members of a list that gets a pivot first, and sets of a block.
+LONG, BLOCK = 64, 256
 SETS = (
     "doc_id bigint, n_shingles bigint, set_key binary, grams binary, "
     + ", ".join(f"prefix{k} binary" for k in range(ORDERS))
@@ -180,50 +180,120 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(verify, "node bigint, other bigint")
 
 
-def _pairs(lists: DataFrame, pivots: int, percent: int, turn: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of pivots with members of other components, and the lists without their pivots.
+def _stars(lists: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each long list's pivot, the member with the smallest hash, with its other members."""
+    one = F.struct(F.xxhash64("node").alias("h"), "node", "size")
+    pivots = (
+        lists.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("members"), F.min(one).alias("p"))
+        .where(F.col("members") >= LONG)
+        .select("token", F.col("p.node").alias("pivot"), F.col("p.size").alias("pivot_size"))
+    )
+    return (
+        lists.join(pivots, "token")
+        .where(f"node <> pivot and 100 * least(size, pivot_size) >= {percent} * greatest(size, pivot_size)")
+        .select(F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("other"))
+        .distinct()
+    )
 
-    ``lists`` has token, node, size and label. A list is cut into as many slots as it may have pivots;
-    the pivot of a slot is a member of its list's smallest component there.
+
+def _clusters(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Nodes of lists that still hold several components: their ``cluster`` and ``label``.
+
+    Any two nodes with a common list are in one cluster.
     """
-    groups = lists.groupBy("token", "label").agg(F.count(F.lit(1)).alias("members"))
-    open_lists = groups.groupBy("token").agg(F.count(F.lit(1)).alias("labels")).where("labels > 1").select("token")
-    lists = shared.settled(lists.join(open_lists, "token", "left_semi").join(groups, ["token", "label"]))
-    slot = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(pivots))
-    chosen = (
-        lists.groupBy("token", slot.alias("slot"))
-        .agg(F.min(F.struct("members", F.xxhash64("node", F.lit(turn)).alias("h"), "node", "size", "label")).alias("p"))
-        .select("token", F.col("p.node").alias("pivot"), F.col("p.size").alias("pivot_size"), F.col("p.label").alias("pivot_label"))
+    labelled = lists.join(roots, "node", "left").select("token", "node", F.coalesce("root", "node").alias("label"))
+    bounds = labelled.groupBy("token").agg(
+        F.min("node").alias("least"), F.min("label").alias("a"), F.max("label").alias("b")
     )
-    chosen = shared.settled(chosen)
-    pairs = (
-        lists.join(chosen, "token")
-        .where("label <> pivot_label")
-        .where(f"100 * least(size, pivot_size) >= {percent} * greatest(size, pivot_size)")
-        .select(F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("other"))
+    open_lists = bounds.where("a < b").select("token", "least")
+    links = shared.settled(
+        labelled.join(open_lists, "token").select("node", F.col("least").alias("other"), "label").distinct()
+    )
+    joined = components(links.select("node", "other"))
+    return (
+        links.select("node", "label")
         .distinct()
+        .join(joined, "node", "left")
+        .select("node", "label", F.coalesce("root", "node").alias("cluster"))
     )
-    gone = chosen.select("token", F.col("pivot").alias("node"))
-    return pairs, lists.drop("label", "members").join(gone, ["token", "node"], "left_anti")
+
+
+def _block_links(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFrame:
+    """Links between components, found by comparing the sets of a cluster block by block.
+
+    A cluster is cut into blocks of about ``BLOCK`` sets; each pair of blocks is one group. Within it
+    only pairs that meet in every order's prefixes and aren't connected yet are verified.
+    """
+    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    dealt = (
+        sets.join(clusters, "node")
+        .join(sizes, "cluster")
+        .withColumn("own", own)
+        .withColumn("peer", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("own", "peer"))
+        .withColumn("high", F.greatest("own", "peer"))
+        .drop("blocks", "peer", "set_key")
+    )
+
+    def compare(group: pa.Table) -> pa.Table:
+        group = group.sort_by("node").combine_chunks()
+        cross = group["low"][0].as_py() != group["high"][0].as_py()
+        links = _spanning(group, percent, np.asarray(group["own"]) if cross else None)
+        return pa.table({"node": pa.array([a for a, _ in links], pa.int64()), "other": pa.array([b for _, b in links], pa.int64())})
+
+    return dealt.groupBy("cluster", "low", "high").applyInArrow(compare, "node bigint, other bigint")
+
+
+def _spanning(group: pa.Table, percent: int, side: np.ndarray | None) -> list[tuple[int, int]]:
+    """Verified links that connect components of the group; with ``side``, between two blocks only."""
+    n = group.num_rows
+    close = np.triu(np.ones((n, n), bool), 1)
+    if side is not None:
+        close &= side[:, None] != side[None, :]
+    for k in range(ORDERS):
+        prefixes = [np.frombuffer(p.as_py(), np.uint64) for p in group[f"prefix{k}"]]
+        token = np.concatenate(prefixes)
+        owner = np.repeat(np.arange(n), [len(p) for p in prefixes])
+        order = np.argsort(token, kind="stable")
+        token, owner = token[order], owner[order]
+        edges = np.append(np.flatnonzero(np.append(True, token[1:] != token[:-1])), len(token))
+        meet = np.zeros((n, n), bool)
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if b - a > 1:
+                meet[np.ix_(owner[a:b], owner[a:b])] = True
+        close &= meet
+    size = np.asarray(group["n_shingles"])
+    close &= 100 * np.minimum(size[:, None], size) >= percent * np.maximum(size[:, None], size)
+    grams = [np.frombuffer(g.as_py(), np.uint64) for g in group["grams"]]
+    nodes = group["node"].to_pylist()
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in up:
+            x = up[x]
+        return x
+
+    links = []
+    label = group["label"].to_pylist()
+    for a, b in np.argwhere(close).tolist():
+        one, two = top(label[a]), top(label[b])
+        if one != two:
+            both = len(np.intersect1d(grams[a], grams[b], assume_unique=True))
+            if 100 * both >= percent * (size[a] + size[b] - both):
+                up[max(one, two)] = min(one, two)
+                links.append((nodes[a], nodes[b]))
+    return links
 
 
 def similarity_components(sets: DataFrame, percent: int) -> DataFrame:
     """``node`` and ``root`` of every set that is linked to a smaller one; ``sets`` has one row per set."""
     lists = shared.settled(_lists(sets).where("token is not null"))
-    roots = sets.select("node", F.col("node").alias("root")).limit(0)
-    pivots, turn = 1, 0
-    while True:
-        labelled = lists.join(roots, "node", "left").select(
-            "token", "node", "size", F.coalesce("root", "node").alias("label")
-        )
-        pairs, lists = _pairs(labelled, pivots, percent, turn)
-        lists = shared.settled(lists)
-        links = shared.settled(_linked(pairs, sets, percent))
-        if not links.isEmpty():
-            roots = shared.settled(components(links.unionAll(roots.toDF("node", "other"))))
-        if lists.isEmpty():
-            return roots
-        pivots, turn = pivots * GROWTH, turn + 1
+    stars = shared.settled(_linked(_stars(lists, percent), sets, percent))
+    roots = components(stars)
+    clusters = shared.settled(_clusters(lists, roots))
+    return components(stars.unionAll(_block_links(sets, clusters, percent)))
 
 
 def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
