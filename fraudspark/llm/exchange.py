@@ -52,7 +52,7 @@ def packed(block: int, keys: np.ndarray, parts_of: np.ndarray, numbers: np.ndarr
     order = np.argsort(parts_of, kind="stable")
     owner = parts_of[order]
     edges = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, int)
-    ends = np.append(edges[1:], len(owner))
+    ends = np.append(edges, len(owner))[1:]
     keys, numbers = keys[order], numbers[order]
     return pa.table(
         {

@@ -3,9 +3,10 @@
 A row descends from the root through region and rack to a shard. At each level every child draws
 ``-ln(u) / weight`` with ``u`` from a hash of the row's key and the child's name, and the smallest
 draw wins, so a child gets rows in proportion to its weight, and a change of weight moves rows only
-between the changed subtree and its siblings. A tree of more than ``BASE`` shards holds each further
-shard as a region of its own: no weight inside another region changes, so one more shard only takes
-rows, and only into itself (law ``key``).
+between the changed subtree and its siblings. A tree deals its first ``base`` shards, 40 or what it
+began with if that is less, over regions and racks, and holds each further shard as a region of its
+own: no weight inside another region changes, so one more shard only takes rows, and only into itself
+(law ``key``).
 
 Slots number the rows of a shard without gaps. Rows are counted by shard and by the first digits of
 their hash; sums of those counts are where each such group begins, and a group is small.
@@ -40,9 +41,9 @@ def parent(name: str, children: list[Node]) -> Node:
     return Node(name, sum(c.weight for c in children), tuple(children))
 
 
-def tree(shards: int) -> Node:
-    """Shards of weight 1: the first ``BASE`` dealt evenly over racks, the others one a region."""
-    regular = min(shards, BASE)
+def tree(shards: int, base: int = BASE) -> Node:
+    """Shards of weight 1: the first ``base`` dealt evenly over racks, the others one a region."""
+    regular = min(shards, base)
     racks: list[list[Node]] = [[] for _ in range(REGIONS * RACKS)]
     for k in range(regular):
         racks[k % len(racks)].append(Node(f"shard{k}", 1.0, shard=k))
@@ -90,14 +91,15 @@ def _choose(won: Column, below: list[Column]) -> Column:
 
 def shard_rows(docs: DataFrame, shards: int = 40) -> DataFrame:
     """Shard and slot of every row, and its shard in a tree of one more shard."""
+    base = min(shards, BASE)
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
         "doc_id",
         (F.octet_length(text) + F.lit(16)).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        descend(key, tree(shards)).cast("int").alias("shard"),
-        descend(key, tree(shards + 1)).cast("int").alias("grown_shard"),
+        descend(key, tree(shards, base)).cast("int").alias("shard"),
+        descend(key, tree(shards + 1, base)).cast("int").alias("grown_shard"),
         F.md5(key.cast("binary")).alias("_hash"),
     )
     groups = max(1, docs.count() / (SLOT_GROUP * shards))
