@@ -709,12 +709,12 @@ def _n7(spark, sf_dir):
 
 @query(
     "U1_union",
-    o.over_transactions("SELECT transaction_id, provider FROM t WHERE provider IN ('VISA', 'MPESA', 'PESAPAL')"),
+    o.over_transactions("SELECT transaction_id, provider FROM t"),
 )
 def _u1(spark, sf_dir):
     t = txns(spark, sf_dir)
     return normalise.union_of(
-        *[normalise.only_provider(t, p) for p in (VISA, MPESA, PESAPAL)]
+        *[normalise.only_provider(t, p) for p in (VISA, MASTERCARD, MPESA, FLUTTERWAVE, PESAPAL)]
     ).select("transaction_id", "provider")
 
 
@@ -1139,6 +1139,28 @@ def _k3(spark, sf_dir):
     return state.merchant_first_seen(txns(spark, sf_dir)).select("transaction_id", "is_merchant_first_seen")
 
 
+def _shared_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions whose ids repeat, within a provider and between providers."""
+    shared = F.concat(F.lit("S"), (F.col("event_id") % 500).cast("string"))
+    return txns(spark, sf_dir).withColumn("transaction_id", shared)
+
+
+def _shared_sql(keys: str, flag: str, name: str) -> str:
+    first = f"rank() OVER (PARTITION BY {keys} ORDER BY event_us, 'S' || CAST(event_id % 500 AS VARCHAR))"
+    usable = " AND ".join(f"{k} IS NOT NULL" for k in keys.split(", "))
+    return o.over_transactions(f"SELECT event_id, CASE WHEN {usable} THEN {first} {flag} 1 END AS {name} FROM t")
+
+
+@query("K1_device_history_shared_ids", _shared_sql("customer_id, device_fingerprint", ">", "device_seen_before"))
+def _k1_shared(spark, sf_dir):
+    return state.device_history(_shared_ids(spark, sf_dir), CONFIG).select("event_id", "device_seen_before")
+
+
+@query("K3_merchant_first_seen_shared_ids", _shared_sql("merchant_id", "=", "is_merchant_first_seen"))
+def _k3_shared(spark, sf_dir):
+    return state.merchant_first_seen(_shared_ids(spark, sf_dir)).select("event_id", "is_merchant_first_seen")
+
+
 # ---------------------------------------------------------------- streams
 
 

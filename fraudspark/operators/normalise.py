@@ -14,12 +14,15 @@ from fraudspark.functions.text import looked_up
 from fraudspark.operators.parse import per_provider
 from fraudspark.sources.refdata import CURRENCY_ROWS
 
+# 0001-01-01 and 9999-12-31T23:59:59.999 in UTC.
+_REAL_MILLIS = (-62_135_596_800_000, 253_402_300_799_999)
 _ALPHA_TO_CODE = {row[1]: row[0] for row in CURRENCY_ROWS}
 
 
 def event_time(text: Column, millis: Column) -> Column:
-    """ISO text if it can be read, else epoch milliseconds, else null."""
-    return F.coalesce(F.try_to_timestamp(text), F.timestamp_millis(millis))
+    """ISO text if it can be read, else epoch milliseconds of years 1 to 9999, else null."""
+    real = F.when(millis.between(*_REAL_MILLIS), millis)
+    return F.coalesce(F.try_to_timestamp(text), F.timestamp_millis(real))
 
 
 def _networks() -> dict[str, Column]:

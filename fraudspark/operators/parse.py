@@ -23,6 +23,9 @@ JSON_FAILURE = "JSON parse error"
 _CORRUPT = "_corrupt"
 _JSON_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": _CORRUPT}
 _NULLS = "_null_fields"
+_JSON_BLANKS = " \t\r\n"
+# What may be a number; a cast alone would also take suffixes such as 5d.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def _names(names: str) -> dict[str, str]:
@@ -353,7 +356,7 @@ _TYPES = {"amount": "double", "event_time_ms": "bigint", "is_fraud": "boolean",
 def parse_error() -> Column:
     """Why a message cannot be read at all, else null. Expects the decoded and parsed columns."""
     raw = F.col("raw")
-    unreadable = F.col("amount").isNull() | ~F.rtrim(raw).endswith("}")
+    unreadable = F.col("amount").isNull() | ~F.rtrim(raw, F.lit(_JSON_BLANKS)).endswith("}")
     no_shape = _reader(MPESA)("^.TransactionType").isNull() & _push_part().isNull()
 
     def reason(provider: str, extra: Column, text: str = PARSE_FAILURE, invalid: str | None = None) -> Column:
@@ -409,6 +412,8 @@ def parsed_columns() -> dict[str, Column]:
     parsed = {}
     for name in dict.fromkeys(n for fields in by_provider.values() for n in fields):
         text = per_provider({p: f[name] for p, f in by_provider.items() if name in f})
+        if _TYPES.get(name) == "double":
+            text = F.when(text.rlike(_NUMBER), text)
         parsed[name] = text.try_cast(_TYPES[name]) if name in _TYPES else text
     return parsed
 

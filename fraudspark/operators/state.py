@@ -56,7 +56,9 @@ def starts(
             max_hot=config.hot_groups_max,
             min_rows=config.hot_group_min_rows,
         ).where(F.col(_US) >= F.col("_expires"))
-        links = settle(_earliest(after.drop("_expires"), keys))
+        # Only what comes after the last link can hold the next one: each round reads less.
+        events = settle(after.drop("_expires"))
+        links = settle(_earliest(events, keys))
         found = found.unionByName(links)
     return found.select(*keys, F.col("_first")[_US].alias(_US), F.col("_first")[_ID].alias(_ID))
 
@@ -73,22 +75,23 @@ def seen_before(
 ) -> DataFrame:
     """Add ``name``: false on rows that set their key, true on the others, null without a key.
 
-    ``row_id`` must be unique; ties in time are broken by it. ``source`` holds the same
-    transactions before other joins, and is what gets searched.
+    Ties in time are broken by ``row_id``, which need not be unique: a row sets its key only if it
+    agrees in key, time and id with the earliest one, and repeated deliveries of one event get one
+    answer. ``source`` holds the same transactions before other joins, and is what gets searched.
     """
     us = F.unix_micros(F.col(ts))
     usable = us.isNotNull()
     for k in keys:
         usable = usable & blank_to_null(F.col(k)).isNotNull()
     events = (df if source is None else source).where(usable).select(*keys, us.alias(_US), F.col(row_id).alias(_ID))
-    setters = starts(events, keys, ttl_us, config).select(
-        F.col(_ID).alias(row_id), F.lit(True).alias("_sets")
-    )
-    # Joined by the unique id, so the size of a key does not matter here.
+    setters = starts(events, keys, ttl_us, config).withColumn("_sets", F.lit(True))
+    # A setter is one row per key and time, so no row is multiplied; with the id among the join keys,
+    # the size of a key does not matter. Rows without a key or time match nothing and are spread by id.
+    by = [*keys, _US, row_id]
     return (
-        df.join(setters, row_id, "left")
-        .withColumn(name, F.when(usable, F.col("_sets").isNull()))
-        .drop("_sets")
+        df.withColumn(_US, us)
+        .join(setters.withColumnRenamed(_ID, row_id), by, "left")
+        .select(*df.columns, F.when(usable, F.col("_sets").isNull()).alias(name))
     )
 
 
