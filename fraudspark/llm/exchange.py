@@ -26,10 +26,10 @@ PART_BYTES = 12_000_000
 KEYED = "block bigint, part int, keys binary, numbers binary"
 
 
-def blocked(docs: DataFrame) -> tuple[DataFrame, int]:
+def blocked(docs: DataFrame, block_bytes: int | None = None) -> tuple[DataFrame, int]:
     """``doc_id``, ``text`` as bytes and ``block``; the number of parts for the same input."""
     size = shared.text_bytes(docs)
-    blocks = max(1, math.ceil(size / BLOCK_BYTES))
+    blocks = max(1, math.ceil(size / (block_bytes or BLOCK_BYTES)))
     frame = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"),
         shared.binary_text(),

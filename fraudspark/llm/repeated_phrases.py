@@ -31,6 +31,10 @@ from pyspark.sql import functions as F
 from fraudspark.llm import exchange, words
 
 RUN = 7
+#: Words are spelled to the automaton in this base.
+DIGIT = 64
+#: Text of a block; its automaton takes some ten times that at most.
+BLOCK_BYTES = 2_000_000
 LAST = np.iinfo(np.int64).max
 KEPT = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
 
@@ -135,9 +139,24 @@ def _phrases(docs: DataFrame, anchors: DataFrame, parts: int, window: int) -> Da
     return exchange.answered(sent, answer)
 
 
-def _automaton(block: _Block, codes: np.ndarray, phrases: pa.Table, parts: int, window: int):
+def _letters(codes: np.ndarray, vocabulary: int) -> tuple[str, int]:
+    """Word numbers as a string, and the letters per word.
+
+    The automaton searches a node's children one by one, so a word is spelled by digits of a small
+    base. The first digit has letters of its own, so that phrases match at word borders only.
+    """
+    digits = 1
+    while DIGIT**digits < vocabulary:
+        digits += 1
+    spelled = np.empty((len(codes), digits), "<u4")
+    for k in range(digits):
+        spelled[:, k] = codes // DIGIT ** (digits - 1 - k) % DIGIT + (0x100 if k == 0 else 0x200)
+    return spelled.tobytes().decode("utf-32-le"), digits
+
+
+def _automaton(block: _Block, text: str, digits: int, phrases: pa.Table, parts: int, window: int):
     """The block's shard: its confirmed phrases as word sequences, with their smallest documents."""
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
     phrase, part = block.phrases(window, parts)
     least: list[np.ndarray] = []
     count = 0
@@ -154,7 +173,7 @@ def _automaton(block: _Block, codes: np.ndarray, phrases: pa.Table, parts: int,
         hit = known[sort][at] == phrase[mine]
         _, first = np.unique(at[hit], return_index=True)
         for k in block.at[mine[hit][first]].tolist():
-            automaton.add_word(tuple(codes[k : k + window].tolist()), count)
+            automaton.add_word(text[k * digits : (k + window) * digits], count)
             count += 1
         numbers = np.frombuffer(phrases["numbers"][row].as_py(), np.int64)[sort]
         least.append(numbers[at[hit][first]])
@@ -176,7 +195,8 @@ def _mark(docs: DataFrame, phrases: DataFrame, parts: int, window: int) -> DataF
             codes = np.fromiter(
                 (numbers.setdefault(w, len(numbers)) for text in texts for w in text), np.int64, int(block.words.first[-1])
             )
-            automaton, least = _automaton(block, codes, replies.combine_chunks(), parts, window)
+            spelled, digits = _letters(codes, len(numbers))
+            automaton, least = _automaton(block, spelled, digits, replies.combine_chunks(), parts, window)
             out["doc_id"] = block.table["doc_id"].to_pylist()
             for k, found in enumerate(texts):
                 gone = np.zeros(len(found) + 1, np.int32)
@@ -184,10 +204,10 @@ def _mark(docs: DataFrame, phrases: DataFrame, parts: int, window: int) -> DataF
                     own, first = int(block.ids[k]), int(block.words.first[k])
                     ends = [
                         end
-                        for end, phrase in automaton.iter(tuple(codes[first : first + len(found)].tolist()))
+                        for end, phrase in automaton.iter(spelled[first * digits : (first + len(found)) * digits])
                         if least[phrase] < own
                     ]
-                    ends = np.array(ends, np.int64)
+                    ends = np.array(ends, np.int64) // digits
                     np.add.at(gone, ends - (window - 1), 1)
                     np.add.at(gone, ends + 1, -1)
                 keep = np.cumsum(gone[:-1]) == 0
@@ -209,7 +229,7 @@ def _mark(docs: DataFrame, phrases: DataFrame, parts: int, window: int) -> DataF
 
 def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     """Per document the kept words, joined by one space, and the counts of words and removed words."""
-    frame, parts = exchange.blocked(docs)
+    frame, parts = exchange.blocked(docs, BLOCK_BYTES)
     anchors = _anchors(frame, parts, window)
     return _mark(frame, _phrases(frame, anchors, parts, window), parts, window)
 
