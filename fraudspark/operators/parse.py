@@ -3,12 +3,15 @@
 All providers go through one projection: each output column is a CASE over the provider, so the
 input is read once and never fanned out per provider. A message is decoded once, into text fields.
 Decoding cannot tell a missing field (its default applies) from an explicit JSON null (it stays
-null), so the names of the fields that a message sets to null are kept next to it.
+null), so the paths that a message sets to null are kept next to it; only messages that contain the
+word null are read a second time for that.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +25,8 @@ JSON_FAILURE = "JSON parse error"
 
 _CORRUPT = "_corrupt"
 _JSON_OPTIONS = {"allowSingleQuotes": "false", "columnNameOfCorruptRecord": _CORRUPT}
-_NULLS = "_null_fields"
+_NULLS = "_null_paths"
+_VARIANT = "_variant"
 _JSON_BLANKS = " \t\r\n"
 # What may be a number; a cast alone would also take suffixes such as 5d.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
@@ -100,8 +104,30 @@ def per_provider(branches: dict[str, Column], default: Column | None = None) ->
     return chain if default is None else chain.otherwise(default)
 
 
-def _set_to_null(name: str) -> Column:
-    return F.coalesce(F.array_contains(_NULLS, name), F.lit(False))
+def _whole(family: str) -> dict:
+    """All fields of a family's messages, with and without the wrapper."""
+    _, wrapper, fields, _ = FAMILIES[family]
+    return fields if wrapper is None else _OUTER | fields | {wrapper: fields}
+
+
+def _paths(fields: dict, above: str = "") -> list[str]:
+    out = []
+    for name, inner in fields.items():
+        out.append(f"{above}{name}")
+        if isinstance(inner, dict):
+            out += _paths(inner, f"{above}{name}.")
+    return out
+
+
+def _value(path: str) -> Column:
+    """A decoded field; the path begins with the family."""
+    return F.col(path)
+
+
+def _is_null(path: str) -> Column:
+    """Whether the message has a JSON null exactly there; the path begins with the family."""
+    inside = path.split(".", 1)[1]
+    return F.coalesce(F.array_contains(_NULLS, f"$.{inside}"), F.lit(False))
 
 
 def _reader(provider: str):
@@ -110,29 +136,30 @@ def _reader(provider: str):
     family = FAMILY_OF[provider]
     _, wrapper, _, part = FAMILIES[family]
 
-    def at(view: str, name: str) -> Column:
-        envelope = F.col(f"{family}.{name}")
+    def at(view: str, name: str, get=_value) -> Column:
+        envelope = get(f"{family}.{name}")
         if view == "^^" or (view == "^" and wrapper is None):
             return envelope
         inside = f"{family}.{wrapper}" if wrapper else family
         message = (
-            F.when(F.col(inside).isNotNull(), F.col(f"{inside}.{name}")).otherwise(envelope)
+            F.when(F.col(inside).isNotNull(), get(f"{inside}.{name}")).otherwise(envelope)
             if wrapper and name in FAMILIES[family][2] or wrapper and "." in name
             else envelope
         )
         if view == "^" or part is None:
             return message
+        outer = get(f"{family}.{part}.{name}")
         if provider == VISA:
-            return F.col(f"{family}.{part}.{name}")
+            return outer
         if provider == MPESA:
-            return F.coalesce(F.col(f"{inside}.{part}.{name}"), F.col(f"{family}.{part}.{name}"))
+            wrapped = get(f"{inside}.{part}.{name}")
+            return F.coalesce(wrapped, outer) if get is _value else wrapped | outer
         if provider == MASTERCARD:
-            has_part = F.col(f"{family}.{part}")
-            return F.when(has_part.isNotNull(), has_part[name]).otherwise(envelope)
+            return F.when(F.col(f"{family}.{part}").isNotNull(), outer).otherwise(envelope)
         return (
-            F.when(F.col(f"{inside}.{part}").isNotNull(), F.col(f"{inside}.{part}.{name}"))
-            .when(F.col(inside).isNotNull(), F.col(f"{inside}.{name}"))
-            .when(F.col(f"{family}.{part}").isNotNull(), F.col(f"{family}.{part}.{name}"))
+            F.when(F.col(f"{inside}.{part}").isNotNull(), get(f"{inside}.{part}.{name}"))
+            .when(F.col(inside).isNotNull(), get(f"{inside}.{name}"))
+            .when(F.col(f"{family}.{part}").isNotNull(), outer)
             .otherwise(envelope)
         )
 
@@ -147,9 +174,10 @@ def _reader(provider: str):
         else:
             fallback = default if isinstance(default, Column) else F.lit(default)
         nothing = F.lit(None).cast("string")
-        given_null = _set_to_null(name.rsplit(".", 1)[-1])
+        given_null = at(view, name, _is_null)
         return F.when(value.isNotNull(), value).when(given_null, nothing).otherwise(fallback)
 
+    read.at = at
     return read
 
 
@@ -221,7 +249,8 @@ def mastercard_fields() -> dict[str, Column]:
 
 def _is_push_callback() -> Column:
     """The second mobile-money shape; the first one has a TransactionType."""
-    first_shape = _reader(MPESA)("^.TransactionType").isNotNull() | _set_to_null("TransactionType")
+    read = _reader(MPESA)
+    first_shape = read("^.TransactionType").isNotNull() | read.at("^", "TransactionType", _is_null)
     return ~first_shape & _push_part().isNotNull()
 
 
@@ -368,20 +397,25 @@ def parse_error() -> Column:
             decoded.isNull() | decoded[_CORRUPT].isNotNull() | unreadable | extra, said
         )
 
-    def nulls(*names: str) -> Column:
-        return F.coalesce(F.arrays_overlap(_NULLS, F.array(*map(F.lit, names))), F.lit(False))
+    def null_part(family: str, *names: str) -> Column:
+        return reduce(or_, (_is_null(f"{family}.{n}") for n in names))
+
+    gateway = _reader(FLUTTERWAVE)
 
     return per_provider(
         {
-            VISA: reason(VISA, nulls("bitmap"), "Parse failure"),
-            MASTERCARD: reason(MASTERCARD, nulls("bitmap") | ~is_filled(F.col("pan"))),
-            MPESA: reason(MPESA, nulls("webhook_payload") | no_shape, invalid=JSON_FAILURE),
+            VISA: reason(VISA, null_part("_card", "bitmap"), "Parse failure"),
+            MASTERCARD: reason(MASTERCARD, null_part("_card", "bitmap") | ~is_filled(F.col("pan"))),
+            MPESA: reason(MPESA, null_part("_mpesa", "webhook_payload") | no_shape, invalid=JSON_FAILURE),
             FLUTTERWAVE: reason(
                 FLUTTERWAVE,
-                nulls("webhook_payload", "data", "card", "customer"),
+                null_part("_flw", "webhook_payload")
+                | gateway.at("^", "data", _is_null)
+                | gateway.at(".", "card", _is_null)
+                | gateway.at(".", "customer", _is_null),
                 invalid=JSON_FAILURE,
             ),
-            PESAPAL: reason(PESAPAL, nulls("ipn_payload")),
+            PESAPAL: reason(PESAPAL, null_part("_ipn", "ipn_payload")),
         },
         F.lit("Unknown topic"),
     )
@@ -392,14 +426,16 @@ def decode_messages(wire: DataFrame) -> DataFrame:
     raw = F.col("raw")
     opened = wire.where(F.col("value").isNotNull()).withColumn("raw", F.col("value").cast("string"))
     decoded = {}
-    for family, (providers, wrapper, fields, _) in FAMILIES.items():
-        whole = fields if wrapper is None else _OUTER | fields | {wrapper: fields}
-        schema = f"struct<{_ddl(whole | {_CORRUPT: 'string'})}>"
-        text = F.when(F.col("provider").isin(*providers), raw)
-        decoded[family] = F.from_json(text, schema, _JSON_OPTIONS)
-    null_fields = F.regexp_extract_all(raw, F.lit(r'"(\w+)"\s*:\s*null'), F.lit(1))
-    decoded[_NULLS] = F.when(raw.contains("null"), null_fields)
-    return opened.drop("key", "value").withColumns(decoded)
+    paths = F
+    for family, (providers, *_) in FAMILIES.items():
+        schema = f"struct<{_ddl(_whole(family) | {_CORRUPT: 'string'})}>"
+        mine = F.col("provider").isin(*providers)
+        decoded[family] = F.from_json(F.when(mine, raw), schema, _JSON_OPTIONS)
+        paths = paths.when(mine, F.array(*[F.lit(f"$.{p}") for p in _paths(_whole(family))]))
+    decoded[_VARIANT] = F.when(raw.contains("null"), F.try_parse_json(raw))
+    null_paths = F.filter(paths, lambda p: F.is_variant_null(F.variant_get(F.col(_VARIANT), p, "variant")))
+    with_variant = opened.drop("key", "value").withColumns(decoded)
+    return with_variant.withColumn(_NULLS, F.when(F.col(_VARIANT).isNotNull(), null_paths)).drop(_VARIANT)
 
 
 @built_once

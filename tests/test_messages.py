@@ -66,7 +66,15 @@ CASES = [
     (VISA, visa(DE004=None), "Parse failure", {}),
     (VISA, visa(DE004="ten"), "Parse failure", {}),
     (VISA, visa(DE004="12.5"), None, {"amount": 12.5}),
+    (VISA, visa(DE004="5d"), "Parse failure", {}),
+    (VISA, visa(DE004=" 1e2 "), None, {"amount": 100.0}),
     (VISA, visa(DE049=None), None, {"currency_code": None, "currency": "KES"}),
+    (VISA, json.dumps(visa()) + "\r\n", None, {"amount": 10.5}),
+    (VISA, {"bitmap": {"DE002": "4111111111111111"}, "meta": {"DE049": None, "bitmap": None}}, None,
+     {"currency_code": "404"}),
+    (FLUTTERWAVE, flw(("520000", "1234"), meta={"customer": None, "card": None, "data": None}), None, {"amount": 5.0}),
+    (FLUTTERWAVE, flw(customer=None), "Parse failure - unknown format", {}),
+    (FLUTTERWAVE, flw() | {"meta": {"webhook_payload": None}}, None, {"amount": 5.0}),
     (VISA, visa(DE049="156"), None, {"currency_code": "156", "currency": "KES"}),
     (MASTERCARD, visa("5555555555554444", DE049="156"), None,
      {"card_token": shaped("5555555555554444", "123456"), "currency": "USD"}),
