@@ -81,12 +81,17 @@ def parsed(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
     )
 
 
-def routed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jobs.tokenise_wire(raw(spark, sf_dir), o.CHECK_KEY, CONFIG)
+def routed(spark: SparkSession, sf_dir: str, provider: str | None = None) -> DataFrame:
+    """All messages, or those of one provider's topic."""
+    records = w.wire(w.payments(spark, sf_dir), CONFIG)
+    if provider:
+        records = records.where(F.col("topic") == CONFIG.raw_topics[provider])
+    records = wire.with_min_partitions(records, spark.sparkContext.defaultParallelism)
+    return jobs.tokenise_wire(records, o.CHECK_KEY, CONFIG)
 
 
-def tokenised(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.accepted(routed(spark, sf_dir)).withColumnRenamed("offset", "event_id")
+def tokenised(spark: SparkSession, sf_dir: str, provider: str | None = None) -> DataFrame:
+    return validate.accepted(routed(spark, sf_dir, provider)).withColumnRenamed("offset", "event_id")
 
 
 def keyed(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
@@ -502,15 +507,16 @@ def _token_query(name: str, provider: str, make: Callable[[], Column], sql: str,
 
 _c = F.col
 _token_query(
-    "T1_visa_card_token", VISA, lambda: tokenise.visa_card_token(_c("visa_pan")), o.TOKENS["visa"],
-    "length(visa_pan) >= 13",
+    "T1_visa_card_token",
+    VISA,
+    lambda: tokenise.visa_card_token(_c("visa_pan")),
+    f"CASE WHEN length({o.card_digits('visa_pan')}) >= 13 THEN {o.TOKENS['visa']} END",
 )
 _token_query(
     "T2_mastercard_card_token",
     MASTERCARD,
     lambda: tokenise.mastercard_card_token(_c("mastercard_pan")),
-    o.TOKENS["mastercard"],
-    "length(mastercard_pan) >= 13",
+    f"CASE WHEN length({o.card_digits('mastercard_pan')}) >= 13 THEN {o.TOKENS['mastercard']} END",
 )
 _token_query("T3_normalise_phone", MPESA, lambda: text.international_phone(_c("phone")), o.e164("phone"))
 _token_query("T4_msisdn_token", MPESA, lambda: tokenise.msisdn_token(_c("phone")), o.TOKENS["msisdn"])
@@ -570,9 +576,7 @@ _token_query(
     ),
 )
 def _t9(spark, sf_dir):
-    return normalise.only_provider(tokenised(spark, sf_dir), FLUTTERWAVE).select(
-        "event_id", "card_token", "message_key"
-    )
+    return tokenised(spark, sf_dir, FLUTTERWAVE).select("event_id", "card_token", "message_key")
 
 
 @query(
@@ -668,9 +672,9 @@ _CANONICAL_SQL = {
 _CANONICAL_LIST = ", ".join(f"{sql} AS {c}" for c, sql in _CANONICAL_SQL.items())
 
 
-def _canonical(spark, sf_dir) -> DataFrame:
+def _canonical(spark, sf_dir, provider: str | None = None) -> DataFrame:
     return (
-        jobs.canonical(validate.accepted(routed(spark, sf_dir)))
+        jobs.canonical(validate.accepted(routed(spark, sf_dir, provider)))
         .withColumn("event_us", F.unix_micros("event_timestamp"))
         .select(*_CANONICAL_SQL)
     )
@@ -684,7 +688,7 @@ def _n1(spark, sf_dir):
 def _mapping_query(name: str, provider: str):
     @query(name, o.over_tokenised(f"SELECT {_CANONICAL_LIST} FROM k WHERE k.provider = '{provider}'"))
     def _run(spark, sf_dir):
-        return normalise.only_provider(_canonical(spark, sf_dir), provider)
+        return _canonical(spark, sf_dir, provider)
 
 
 for _n, _p in (("N2_visa", VISA), ("N3_mastercard", MASTERCARD), ("N4_mpesa", MPESA),
@@ -1250,13 +1254,21 @@ def _w4(spark, sf_dir):
 
 @query(
     "X2_micro_batch_metrics",
-    o.over_joined("SELECT provider, COUNT(*) AS records, 0 AS high_risk FROM j GROUP BY provider"),
+    o.over_scored(
+        "SELECT provider, COUNT(*) AS records, COUNT(*) FILTER (composite_risk_score > 50) AS high_risk "
+        "FROM s GROUP BY provider"
+    ),
 )
 def _x2(spark, sf_dir):
     out = fresh_path(spark, "metrics")
-    unscored = _event_stream(spark, sf_dir).withColumn("composite_risk_score", F.lit(None).cast("int"))
-    step = sinks.in_micro_batches(sinks.write_metrics(out, CONFIG))
-    sinks.start(unscored, step, fresh_path(spark, "progress")).awaitTermination()
+    refs, count = refdata.ReferenceTables(spark), sinks.write_metrics(out, CONFIG)
+
+    def score_and_count(batch: DataFrame, batch_id: int) -> None:
+        moved = joins.join_reference(velocity.velocity(batch, CONFIG), refs)
+        count(moved.transform(features.add_features, CONFIG), batch_id)
+
+    step = sinks.in_micro_batches(score_and_count)
+    sinks.start(_event_stream(spark, sf_dir), step, fresh_path(spark, "progress")).awaitTermination()
     return reports.running_totals(spark.read.parquet(out), ["records", "high_risk"])
 
 

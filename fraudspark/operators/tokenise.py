@@ -39,15 +39,19 @@ MASTERCARD_CURRENCIES = {
 }
 MASTERCARD_CURRENCY_DEFAULT = "USD"
 
+SHORTEST_CARD = 13
+
 CARD_METHOD = "FORMAT_PRESERVING_HMAC"
 OTHER_METHOD = "HMAC_SHA256_PSEUDONYMISATION"
 
 
 def card_shaped(digits: Column, mac: Column, replacements: str) -> Column:
     """First six and last four digits stay; the middle is taken from the MAC, as digits."""
-    # A SHA-256 MAC has 64 hex digits, so no middle part up to that length is cut short.
+    # A SHA-256 MAC has 64 hex digits, so no middle part up to that length is cut short. Numbers too
+    # short for a card have no token.
     middle = F.translate(mac.substr(F.lit(1), F.length(digits) - 10), LETTERS, replacements)
-    return F.concat(F.substring(digits, 1, 6), middle, F.right(digits, F.lit(4)))
+    shaped = F.concat(F.substring(digits, 1, 6), middle, F.right(digits, F.lit(4)))
+    return F.when(F.length(digits) >= SHORTEST_CARD, shaped)
 
 
 def prefixed(prefix: str, mac: Column, length: int) -> Column:

@@ -6,10 +6,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fraudspark import schemas
 from fraudspark.config import EngineConfig
 
+_CORRUPT = "_corrupt"
+
 
 def kafka_options(
     topics: Mapping[str, str], servers: str, config: EngineConfig = EngineConfig(), **extra: str
@@ -60,10 +63,8 @@ def provider_of_topic(topics: Mapping[str, str]) -> Column:
 
 
 def tag_provider(wire: DataFrame, topics: Mapping[str, str]) -> DataFrame:
-    """Add ``provider``; records of topics outside the map are dropped."""
-    return wire.where(F.col("topic").isin(*topics.values())).withColumn(
-        "provider", provider_of_topic(topics)
-    )
+    """Add ``provider``; it is null for a topic outside the map, which ends in the dead letters."""
+    return wire.withColumn("provider", provider_of_topic(topics))
 
 
 def decode_tokenised(
@@ -76,8 +77,12 @@ def decode_tokenised(
     """
     tagged = tag_provider(wire, topics).where(F.col("value").isNotNull())
     if avro_schema is None:
-        value = F.from_json(F.col("value").cast("string"), schemas.TOKENISED)
-        readable = F.try_parse_json(F.col("value").cast("string")).isNotNull()
+        # A field of the wrong type makes the record corrupt; so does anything but one whole object.
+        text = F.col("value").cast("string")
+        schema = T.StructType(schemas.TOKENISED.fields + [T.StructField(_CORRUPT, T.StringType())])
+        value = F.from_json(text, schema, {"columnNameOfCorruptRecord": _CORRUPT})
+        whole = F.ltrim(text, F.lit(" \t\r\n")).startswith("{") & F.try_parse_json(text).isNotNull()
+        readable = whole & value.isNotNull() & value[_CORRUPT].isNull()
     else:
         from pyspark.sql.avro.functions import from_avro
 
@@ -86,5 +91,7 @@ def decode_tokenised(
     return tagged.select(
         "provider",
         value.alias("_event"),
-        F.when(~readable, F.lit("Parse failure")).alias("error_reason"),
-    ).select("provider", "_event.*", "error_reason")
+        F.when(F.col("provider").isNull(), F.lit("Unknown topic"))
+        .when(~F.coalesce(readable, F.lit(False)), F.lit("Parse failure"))
+        .alias("error_reason"),
+    ).select("provider", "_event.*", "error_reason").drop(_CORRUPT)

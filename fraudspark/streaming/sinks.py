@@ -48,10 +48,12 @@ def tokeniser_dead_letters(routed: DataFrame, topics: Mapping[str, str]) -> Data
         "topic",
         "partition",
         "offset",
-        F.concat(F.lower("provider"), F.lit("-tokeniser")).alias("service"),
+        F.concat(F.coalesce(F.lower("provider"), F.lit("unknown")), F.lit("-tokeniser")).alias("service"),
     )
+    # A record of an unknown topic goes next to the topic that it came from.
+    to = F.coalesce(_topic(topics), F.concat("topic", F.lit("_dlq"))).alias("topic")
     return routed.where(F.col("error_reason").isNotNull()).select(
-        F.lit(None).cast("string").alias("key"), F.to_json(record).alias("value"), _topic(topics)
+        F.lit(None).cast("string").alias("key"), F.to_json(record).alias("value"), to
     )
 
 
