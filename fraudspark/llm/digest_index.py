@@ -46,9 +46,11 @@ class DigestIndex:
             self._write(spark.createDataFrame([], "text_sha256 string, keep_id bigint, n_rows bigint"))
 
     def _write(self, rows: DataFrame) -> None:
+        # One task per bucket, hashed as the table does, so that a batch adds one file to a bucket.
+        bucket = F.pmod(F.hash("text_sha256"), F.lit(self.buckets))
         (
             rows.select("text_sha256", "keep_id", "n_rows")
-            .repartition(self.buckets, "text_sha256")
+            .repartition(bucket)
             .write.bucketBy(self.buckets, "text_sha256")
             .sortBy("text_sha256")
             .mode("append")
