@@ -8,6 +8,7 @@ limit per trigger, and the state of a key is one number (first sight) or the tim
 from __future__ import annotations
 
 import bisect
+import time
 from collections.abc import Iterator
 
 import pandas as pd
@@ -19,6 +20,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from fraudspark.config import MICROS, EngineConfig
 from fraudspark.functions.text import blank_to_null
 
+# How far ahead of the clock an event's time may be before it stops moving the trailing span.
+_AHEAD_US = 3600 * MICROS
 _TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 _JSON = {"timestampFormat": _TIME}
 
@@ -62,11 +65,13 @@ class FirstSight(StatefulProcessor):
 class Trailing(StatefulProcessor):
     """Rows of the key in [t - span, t], as of each row."""
 
-    def __init__(self, span_us: int):
-        self.span_us = span_us
+    def __init__(self, span_us: int, forget: bool = False):
+        self.span_us, self.forget = span_us, forget
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getValueState("recent", "times array<bigint>")
+        # An idle card may go once no row of its span can still come in order.
+        ttl_ms = 2 * self.span_us // 1000 + _AHEAD_US // 1000 if self.forget else None
+        self.recent = handle.getValueState("recent", "times array<bigint>", ttl_ms)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _in_order(rows)
@@ -77,7 +82,11 @@ class Trailing(StatefulProcessor):
         counts = [
             bisect.bisect_right(times, us) - bisect.bisect_left(times, us - self.span_us) for us in fresh
         ]
-        self.recent.update((times[bisect.bisect_left(times, times[-1] - self.span_us) :],))
+        # A time from the future is counted but must not push the others out.
+        limit = time.time_ns() // 1000 + _AHEAD_US
+        past = bisect.bisect_right(times, limit)
+        newest = times[past - 1] if past else times[0]
+        self.recent.update((times[bisect.bisect_left(times, newest - self.span_us) :],))
         yield pd.DataFrame({"_row": batch["_row"].to_numpy(), "_flag": counts})
 
     def close(self) -> None:
@@ -155,9 +164,12 @@ def stream_trailing_count(
     span_us: int = 60 * MICROS,
     ts: str = "event_timestamp",
     row_id: str = "transaction_id",
+    forget: bool = False,
 ) -> DataFrame:
     """Low-latency counts: each row leaves with its own micro-batch. Rows without a key count as 1.
 
-    A late row counts what is still in state; rows that left earlier keep the count they had.
+    A late row counts what is still in state; rows that left earlier keep the count they had. With
+    ``forget``, for always-on queries, the store drops cards that have been idle for a while.
     """
-    return _through_state(df, [key], Trailing(span_us), name, T.LongType(), F.lit(1), ts, row_id)
+    mode = "ProcessingTime" if forget else "None"
+    return _through_state(df, [key], Trailing(span_us, forget), name, T.LongType(), F.lit(1), ts, row_id, mode)
