@@ -9,11 +9,12 @@ begins in a document of smaller id is removed; phrases are judged on the input.
 2. *Confirmed phrases.* Phrases with such an anchor are exchanged by their own hash: 64 bits, and a
    part number from independent bits. Every block learns the smallest document of those of its
    phrases that begin in a smaller document than one of its own.
-3. *Automata.* Each block compiles its confirmed phrases, as sequences of words, to an Aho-Corasick
-   automaton, its shard, and streams all of its documents through it.
+3. *Automata.* Each block joins its confirmed phrases to passages, the longest runs of them, and
+   compiles these, as sequences of words, to an Aho-Corasick automaton, its shard. All documents of
+   the block stream through it.
 
-A block's automaton holds only phrases of that block, so memory is bounded by the block's size, and a
-phrase shared by very many documents counts once per block.
+A block's automaton holds only passages of that block, so memory is bounded by the block's size, and
+a phrase shared by very many documents counts once per block.
 
 Defined cases: a null text has no words; a text shorter than the window loses nothing; rows without
 id count as later than all ids and not as smaller than each other; rows with the same id do not
@@ -33,8 +34,6 @@ from fraudspark.llm import exchange, words
 RUN = 7
 #: Words are spelled to the automaton in this base.
 DIGIT = 64
-#: Text of a block; its automaton takes some ten times that at most.
-BLOCK_BYTES = 2_000_000
 LAST = np.iinfo(np.int64).max
 KEPT = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
 
@@ -154,12 +153,10 @@ def _letters(codes: np.ndarray, vocabulary: int) -> tuple[str, int]:
     return spelled.tobytes().decode("utf-32-le"), digits
 
 
-def _automaton(block: _Block, text: str, digits: int, phrases: pa.Table, parts: int, window: int):
-    """The block's shard: its confirmed phrases as word sequences, with their smallest documents."""
-    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+def _least_of_windows(block: _Block, phrases: pa.Table, parts: int, window: int) -> np.ndarray:
+    """Smallest document of each window of the block, as far as confirmed."""
     phrase, part = block.phrases(window, parts)
-    least: list[np.ndarray] = []
-    count = 0
+    least = np.full(len(phrase), LAST)
     order = np.argsort(part, kind="stable")
     edges = np.searchsorted(part[order], np.arange(parts + 1))
     for row in range(phrases.num_rows):
@@ -171,15 +168,30 @@ def _automaton(block: _Block, text: str, digits: int, phrases: pa.Table, parts:
         sort = np.argsort(known)
         at = np.minimum(np.searchsorted(known[sort], phrase[mine]), len(known) - 1)
         hit = known[sort][at] == phrase[mine]
-        _, first = np.unique(at[hit], return_index=True)
-        for k in block.at[mine[hit][first]].tolist():
-            automaton.add_word(text[k * digits : (k + window) * digits], count)
-            count += 1
-        numbers = np.frombuffer(phrases["numbers"][row].as_py(), np.int64)[sort]
-        least.append(numbers[at[hit][first]])
-    if count:
-        automaton.make_automaton()
-    return automaton if count else None, np.concatenate(least).tolist() if least else []
+        least[mine[hit]] = np.frombuffer(phrases["numbers"][row].as_py(), np.int64)[sort][at[hit]]
+    return least
+
+
+def _automaton(block: _Block, text: str, digits: int, least: np.ndarray, window: int):
+    """The block's shard, and for each passage the largest of its windows' smallest documents.
+
+    A passage is a longest run of windows of one document that begin in a smaller document each. It
+    is gone from every document larger than all of those, among them its own.
+    """
+    good = least < block.ids[block.doc] if len(block.doc) else np.zeros(0, bool)
+    at, doc = block.at[good], block.doc[good]
+    if not len(at):
+        return None, [], []
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1] + 1) | (doc[1:] != doc[:-1])
+    begins = np.flatnonzero(new)
+    lasts = np.append(begins[1:], len(at)) - 1
+    largest = np.maximum.reduceat(least[good], begins)
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+    for k, (a, b) in enumerate(zip(at[begins].tolist(), (at[lasts] + window).tolist(), strict=True)):
+        automaton.add_word(text[a * digits : b * digits], k)
+    automaton.make_automaton()
+    return automaton, largest.tolist(), (at[lasts] + window - at[begins]).tolist()
 
 
 def _mark(docs: DataFrame, phrases: DataFrame, parts: int, window: int) -> DataFrame:
@@ -196,20 +208,22 @@ def _mark(docs: DataFrame, phrases: DataFrame, parts: int, window: int) -> DataF
                 (numbers.setdefault(w, len(numbers)) for text in texts for w in text), np.int64, int(block.words.first[-1])
             )
             spelled, digits = _letters(codes, len(numbers))
-            automaton, least = _automaton(block, spelled, digits, replies.combine_chunks(), parts, window)
+            least = _least_of_windows(block, replies.combine_chunks(), parts, window)
+            automaton, largest, length = _automaton(block, spelled, digits, least, window)
             out["doc_id"] = block.table["doc_id"].to_pylist()
             for k, found in enumerate(texts):
                 gone = np.zeros(len(found) + 1, np.int32)
                 if automaton is not None and len(found) >= window:
                     own, first = int(block.ids[k]), int(block.words.first[k])
-                    ends = [
-                        end
-                        for end, phrase in automaton.iter(spelled[first * digits : (first + len(found)) * digits])
-                        if least[phrase] < own
+                    hits = [
+                        (end // digits + 1, length[passage])
+                        for end, passage in automaton.iter(spelled[first * digits : (first + len(found)) * digits])
+                        if largest[passage] < own
                     ]
-                    ends = np.array(ends, np.int64) // digits
-                    np.add.at(gone, ends - (window - 1), 1)
-                    np.add.at(gone, ends + 1, -1)
+                    if hits:
+                        ends, lengths = np.array(hits, np.int64).T
+                        np.add.at(gone, ends - lengths, 1)
+                        np.add.at(gone, ends, -1)
                 keep = np.cumsum(gone[:-1]) == 0
                 out["n_words"].append(len(found))
                 out["n_removed"].append(int(len(found) - keep.sum()))
@@ -229,7 +243,7 @@ def _mark(docs: DataFrame, phrases: DataFrame, parts: int, window: int) -> DataF
 
 def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     """Per document the kept words, joined by one space, and the counts of words and removed words."""
-    frame, parts = exchange.blocked(docs, BLOCK_BYTES)
+    frame, parts = exchange.blocked(docs)
     anchors = _anchors(frame, parts, window)
     return _mark(frame, _phrases(frame, anchors, parts, window), parts, window)
 

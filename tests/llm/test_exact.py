@@ -37,7 +37,6 @@ def sha(data: bytes) -> str:
 def small_blocks(monkeypatch):
     """Several blocks and parts even for the small corpus."""
     monkeypatch.setattr(exchange, "BLOCK_BYTES", 9_000)
-    monkeypatch.setattr(repeated_phrases, "BLOCK_BYTES", 9_000)
     monkeypatch.setattr(exchange, "PART_BYTES", 20_000)
 
 
