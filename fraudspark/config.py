@@ -79,7 +79,6 @@ class EngineConfig:
     max_offsets_per_trigger: int = 50_000
     min_partitions: int = 20
     trigger_interval: str = "1 second"
-    metrics_interval: str = "10 seconds"
     watermark_delay: str = "60 seconds"
 
     # Velocity windows and their thresholds.

@@ -87,16 +87,19 @@ def start_tokeniser(
     checkpoint: str,
     config: EngineConfig = EngineConfig(),
     every: str | None = None,
+    metrics=None,
 ):
     """Raw wire stream to tokenised records and dead letters, in one query.
 
-    ``publish`` and ``dead_letters`` append a batch frame to a sink (``sinks.append_to``).
+    ``publish`` and ``dead_letters`` append a batch frame to a sink (``sinks.append_to``); ``metrics``
+    gets the routed batch and its number (``sinks.write_tokeniser_metrics``).
     """
     routed = tokenise_wire(wire, secrets, config)
-    step = sinks.in_micro_batches(
+    steps = [
         lambda df, _: publish(sinks.tokenised_records(df, config.tokenised_topics)),
         lambda df, _: dead_letters(sinks.tokeniser_dead_letters(df, config.dead_letter_topics)),
-    )
+    ]
+    step = sinks.in_micro_batches(*steps, *([metrics] if metrics else []))
     return sinks.start(routed, step, checkpoint, every)
 
 

@@ -81,7 +81,8 @@ def decode_tokenised(
         text = F.col("value").cast("string")
         schema = T.StructType(schemas.TOKENISED.fields + [T.StructField(_CORRUPT, T.StringType())])
         value = F.from_json(text, schema, {"columnNameOfCorruptRecord": _CORRUPT})
-        whole = F.ltrim(text, F.lit(" \t\r\n")).startswith("{") & F.try_parse_json(text).isNotNull()
+        bare = F.btrim(text, F.lit(" \t\r\n"))
+        whole = bare.startswith("{") & bare.endswith("}") & F.try_parse_json(text).isNotNull()
         readable = whole & value.isNotNull() & value[_CORRUPT].isNull()
     else:
         from pyspark.sql.avro.functions import from_avro

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from fraudspark.config import EngineConfig
 from fraudspark.operators.parse import per_provider
-from fraudspark.operators.reports import provider_metrics
+from fraudspark.operators.reports import latency_quantiles, provider_metrics, tokeniser_counters
 
 Writer = Callable[[DataFrame], None]
 
@@ -100,12 +100,24 @@ def batch_table(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], N
 
 
 def write_metrics(path: str, config: EngineConfig = EngineConfig()) -> Callable[[DataFrame, int], None]:
-    """Records and high-risk records per provider, one set of rows per batch."""
+    """Records, high-risk records and latency quantiles per provider, one set of rows per batch."""
     table = batch_table(path)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        counted = provider_metrics(df, config).withColumn("written_at", F.current_timestamp())
-        table(counted.coalesce(1), batch_id)
+        counted = provider_metrics(df, config)
+        if {"event_timestamp", "pipeline_enrichment_ts"} <= set(df.columns):
+            counted = counted.join(latency_quantiles(df), "provider", "left")
+        table(counted.withColumn("written_at", F.current_timestamp()).coalesce(1), batch_id)
+
+    return write
+
+
+def write_tokeniser_metrics(path: str) -> Callable[[DataFrame, int], None]:
+    """Consumed, tokenised and rejected messages and tokens of each kind per provider and batch."""
+    table = batch_table(path)
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        table(tokeniser_counters(df).withColumn("written_at", F.current_timestamp()).coalesce(1), batch_id)
 
     return write
 

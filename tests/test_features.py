@@ -124,3 +124,30 @@ def test_schema_text_is_read_or_absent(spark, tmp_path):
     (tmp_path / "visa_tokenised.avsc").write_text('{"type": "record"}')
     assert refdata.read_schema_text(spark, str(tmp_path), "VISA") == '{"type": "record"}'
     assert refdata.read_schema_text(spark, str(tmp_path), "MPESA") is None
+
+
+def test_history_keeps_one_row_per_row_when_ids_repeat(spark):
+    """Ids shared by keys or delivered twice neither multiply rows nor mark the wrong ones."""
+    import datetime as dt
+
+    from fraudspark.operators import state
+
+    at = [dt.datetime(2024, 1, 1, 0, m, tzinfo=dt.timezone.utc) for m in range(4)]
+    rows = [("A", "c", "d", at[0]), ("A", "c", "e", at[1]), ("B", "c", "d", at[2]), ("A", "c", "d", at[3]), ("A", "c", "d", at[0])]
+    df = spark.createDataFrame(rows, "transaction_id string, customer_id string, device_fingerprint string, event_timestamp timestamp")
+    got = sorted((r[1], r[2], r[3]) for r in state.device_history(df).select("transaction_id", "device_fingerprint", F.minute("event_timestamp"), "device_seen_before").collect())
+    assert got == [("d", 0, False), ("d", 0, False), ("d", 2, True), ("d", 3, True), ("e", 1, False)]
+
+
+def test_unreadable_times_and_records_do_not_fail_the_batch(spark):
+    from fraudspark.config import EngineConfig
+    from fraudspark.operators import normalise
+    from fraudspark.sources import wire
+
+    far = spark.createDataFrame([("x", 2**63 - 1), ("x", 0)], "t string, ms bigint")
+    assert [r[0] is None for r in far.select(normalise.event_time(F.col("t"), F.col("ms"))).collect()] == [True, False]
+    topic = EngineConfig().tokenised_topics["VISA"]
+    values = ['{"amount": "abc"}', '{"amount": 1} x', "[1]", '"x"', '{"amount": 1.5}\n']
+    records = [(bytearray(v.encode()), topic) for v in values] + [(bytearray(b"{}"), "other")]
+    decoded = wire.decode_tokenised(spark.createDataFrame(records, "value binary, topic string"), EngineConfig().tokenised_topics)
+    assert [r["error_reason"] for r in decoded.collect()] == ["Parse failure"] * 4 + [None, "Unknown topic"]

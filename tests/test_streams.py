@@ -94,6 +94,15 @@ def test_stream_drops_rows_later_than_the_watermark(spark, tmp_path):
     assert got["t0001"] == 1 and got["t0002"] == 1 and got["t0004"] == 1
 
 
+def test_trailing_counts_survive_a_time_from_the_future(spark, tmp_path):
+    parts = [[row(1, 0.0), row(2, 0.1), row(3, 90_000_000)], [row(4, 0.2), row(5, 0.3)]]
+    write_batches(spark, parts, tmp_path / "in")
+    counted = stream_state.stream_trailing_count(source(spark, tmp_path / "in"))
+    drain(counted.select("transaction_id", "card_txn_count_trailing"), tmp_path / "out", tmp_path / "ck")
+    got = {r[0]: r[1] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {"t0001": 1, "t0002": 2, "t0003": 1, "t0004": 3, "t0005": 4}
+
+
 def test_stream_history_survives_a_restart(spark, batches, tmp_path):
     everything = [r for b in batches for r in b]
     config = EngineConfig(device_ttl_us=50 * 60_000_000)
@@ -149,7 +158,10 @@ def test_both_jobs_from_raw_messages_to_scores(spark, tmp_path):
         sinks.append_to("json", path=bad),
         str(tmp_path / "ck1"),
         config,
+        metrics=sinks.write_tokeniser_metrics(str(tmp_path / "counts")),
     ).awaitTermination()
+    counts = spark.read.parquet(str(tmp_path / "counts")).collect()
+    assert [(c.provider, c.consumed, c.tokenised, c.dead_letters) for c in counts] == [(VISA, 15, 14, 1)]
     published = spark.read.schema("key string, value string, topic string").json(good)
     assert published.count() == 14 and spark.read.json(bad).count() == 1
 
@@ -183,6 +195,7 @@ def test_both_jobs_from_raw_messages_to_scores(spark, tmp_path):
     assert reasons == ["Missing event_timestamp", "Parse failure"]
     totals = reports.running_totals(spark.read.parquet(metrics), ["records", "high_risk"]).collect()
     assert [(t.provider, t.records) for t in totals] == [(VISA, 12)]
+    assert all(len(m.latency_quantiles) == 3 for m in spark.read.parquet(metrics).collect() if m.records)
 
 
 def test_a_failing_sink_stops_the_query_and_the_batch_is_replayed(spark, tmp_path):
