@@ -1,7 +1,8 @@
 """A training-corpus pipeline over ``documents``; every stage calls one operator of fraudspark.llm.
 
 Each stage gets what its predecessor kept, as a table in the shared folder. All but the last return
-the columns of ``documents``. Rows without an id pass the stages that drop rows by id.
+the columns of ``documents``. The stages that drop rows decide by row: their operators get a key of
+id and text in place of the id, so rows without id, and rows that share one, are judged by their own text.
 """
 
 from __future__ import annotations
@@ -33,16 +34,41 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return reduced.withColumn("n_chars", F.length("text").cast("bigint")).select(docs.columns)
 
 
+def _keyed(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows with their key, and what an operator gets of them: the key as id, and the text."""
+    rows = docs.withColumn("__row", shared.row_key())
+    return rows, rows.select(F.col("__row").alias("doc_id"), "text")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document of the smallest id of each group of linked documents."""
-    joined = jaccard_join.jaccard_join(docs, n=5, percent=80)
-    return docs.join(joined.where("doc_id <> component_id").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    """Keep one row of each group of linked documents: of the smallest id, and with an id if any has one.
+
+    Repeated rows, in id and text, are one row, also where a text without words links nothing.
+    """
+    rows, judged = _keyed(docs)
+    groups = jaccard_join.jaccard_join(judged, n=5, percent=80).groupBy(F.col("doc_id").alias("__row"))
+    ids = rows.groupBy("__row").agg(F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"))
+    known = shared.stored(ids.join(groups.agg(F.min("component_id").alias("component")), "__row"), "near-copies")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "__row")
+    first = known.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.__row").alias("__row"))
+    dropped = shared.settled(known.join(first, "__row", "left_anti").select("__row", "copies"))
+    kept, _ = shared.parted(rows, dropped, "__row", "copies")
+    repeated = shared.settled(known.where("copies > 1").join(first, "__row", "left_semi").select("__row", "copies"))
+    if repeated.isEmpty():
+        return kept.select(docs.columns)
+    single, several = shared.parted(kept, repeated, "__row", "copies")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text")]
+    once = several.groupBy("doc_id", "text").agg(F.min(F.struct(*rest)).alias("rest")).select("doc_id", "text", "rest.*")
+    return single.select(docs.columns).unionByName(once)
 
 
 def drop_benchmark_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold a passage of the benchmark."""
-    found = decontaminate.decontaminate(docs, shared.table(spark, sf_dir, "benchmark"))
-    return docs.join(found.where("contaminated").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    rows, judged = _keyed(docs)
+    found = decontaminate.decontaminate(judged, shared.table(spark, sf_dir, "benchmark")).where("contaminated")
+    dropped = shared.settled(found.groupBy(F.col("doc_id").alias("__row")).agg(F.count(F.lit(1)).alias("copies")))
+    kept, _ = shared.parted(rows, dropped, "__row", "copies")
+    return kept.select(docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,6 +59,12 @@ def held_out(modulus: int, remainder: int) -> Column:
     return F.pmod(crc, F.lit(modulus)) == remainder
 
 
+def row_key() -> Column:
+    """60 bits of a row's id and text; rows that agree in both, and no others, share them."""
+    digest = F.sha2(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.coalesce(F.concat(F.lit(":"), "text"), F.lit(""))), 256)
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+
+
 #: Groups of more than this share of the rows are broadcast; there are fewer than so many.
 HEAVY = 1000
 
@@ -81,3 +87,16 @@ def attach(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame
         .unionByName(rest.join(light.hint("merge"), key, "left"))
         .unionByName(none, allowMissingColumns=True)
     )
+
+
+def parted(rows: DataFrame, keys: DataFrame, key: str, size: str) -> tuple[DataFrame, DataFrame]:
+    """The rows without and with one of the keys, where ``size`` is the number of rows of a key.
+
+    As in ``attach``, keys of more than a ``1 / HEAVY`` share of all rows go by broadcast.
+    """
+    most = rows.count() // HEAVY
+    heavy = F.broadcast(keys.where(F.col(size) > most).select(key))
+    light = keys.where(F.col(size) <= most).select(key)
+    rest = rows.join(heavy, key, "left_anti")
+    within = rows.join(heavy, key, "left_semi").unionByName(rest.join(light, key, "left_semi"))
+    return rest.join(light, key, "left_anti"), within
