@@ -1,7 +1,9 @@
 """What a block of documents needs to know of the whole corpus about each of its hashed keys.
 
-Documents are dealt into blocks of some megabytes by a hash of their id. A block sends each distinct
-key it holds once, with a number per key, packed by part (a hash of the key): few large rows instead
+Documents are dealt into blocks of some megabytes by a hash of their id and text. Rows that agree in
+both, if they are many, are counted and dealt as few rows of up to ``COPIES`` copies each, with a
+salt, so that neither a missing id nor one id nor one row repeated without end fills a block. A block
+sends each distinct key it holds once, with a number per key, packed by part (a hash of the key): few large rows instead
 of one per occurrence. A part sums the numbers of equal keys up over all blocks and sends every block
 its answers in the order of its keys. A key therefore costs one entry per block, however many
 documents hold it, so no key is too hot for its part; parts and blocks follow the size of the input.
@@ -22,20 +24,49 @@ from fraudspark.llm import shared, words
 #: Text per block and per part. A task holds a few dozen bytes per word of its block or part.
 BLOCK_BYTES = 4_000_000
 PART_BYTES = 12_000_000
+#: Equal rows that one dealt row stands for at most, and what a row counts besides its text.
+COPIES, ROW_BYTES = 1000, 64
 
 KEYED = "block bigint, part int, keys binary, numbers binary"
 
 
 def blocked(docs: DataFrame) -> tuple[DataFrame, int]:
-    """``doc_id``, ``text`` as bytes and ``block``; the number of parts for the same input."""
-    size = shared.text_bytes(docs)
+    """``doc_id``, ``text`` as bytes, ``copies`` and ``block``; the number of parts for the same input.
+
+    A row of the result stands for ``copies`` equal rows; ``spread`` brings them back.
+    """
+    weight = F.coalesce(F.octet_length("text"), F.lit(0)) + F.lit(ROW_BYTES).cast("bigint")
+    size = docs.agg(F.sum(weight).alias("n")).first()["n"] or 0
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
-    frame = docs.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
-        shared.binary_text(),
-        F.pmod(F.xxhash64(F.col("doc_id").cast("bigint")), F.lit(blocks)).alias("block"),
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), shared.binary_text())
+    rows = rows.withColumn("key", F.xxhash64("doc_id", "text"))
+    # Fewer keys than four a block, counting ROW_BYTES for each row.
+    heavy = shared.settled(
+        rows.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("bytes"))
+        .where((F.col("n") > 1) & (F.col("n") * (F.col("bytes") + ROW_BYTES) > BLOCK_BYTES // 4))
+        .select("key")
+    )
+    one = F.lit(1).cast("bigint")
+    frame = rows.withColumns({"copies": one, "salt": F.lit(0).cast("bigint")})
+    if not heavy.isEmpty():
+        counted = rows.join(F.broadcast(heavy), "key", "left_semi").groupBy("key", "doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
+        salts = F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / COPIES))
+        dealt = counted.select("key", "doc_id", "text", "n", F.explode(salts).alias("salt"))
+        copies = F.least(F.lit(COPIES).cast("bigint"), F.col("n") - F.col("salt") * COPIES).alias("copies")
+        frame = frame.join(F.broadcast(heavy), "key", "left_anti").unionByName(
+            dealt.select("key", "doc_id", "text", copies, "salt")
+        )
+    return (
+        frame.select("doc_id", "text", "copies", F.pmod(F.xxhash64("key", "salt"), F.lit(blocks)).alias("block")),
+        max(1, math.ceil(size / PART_BYTES)),
     )
-    return frame, max(1, math.ceil(size / PART_BYTES))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Each row as often as its ``copies`` say, without that column."""
+    each = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("__copy")
+    return rows.select("*", each).drop("copies", "__copy")
 
 
 def in_order(block: pa.Table) -> pa.Table:

@@ -6,7 +6,7 @@ of similarity t or more share an n-gram among the first ``n - ceil(t n) + 1`` of
 order. N-grams of one set only come first everywhere and can't be shared; a set whose prefix holds
 nothing else has no partner and is out at once.
 
-1. Equal sets become one: the smallest document id stands for them.
+1. Equal sets become one node, named by a 64-bit hash; sets that share a document id are linked.
 2. The corpus frequency of every n-gram comes from ``exchange``; each set gets its prefixes.
 3. Candidates share a prefix n-gram of the first order. Long lists first: each is compared with one
    pivot, which joins most of a group of near copies at the cost of one pair per member. Lists that
@@ -16,7 +16,7 @@ nothing else has no partner and is out at once.
 4. A pair is dropped unless its prefixes of all other orders meet too, then verified exactly.
 
 Defined cases: a null or wordless text has an empty set and links nothing; a text of fewer words
-than n has one n-gram, its whole sequence; rows that share an id are one node; rows without id take
+than n has one n-gram, its whole sequence; rows that share an id are in one component; rows without id take
 the component of an equal text, if any, and link nothing else; other columns are left out.
 """
 
@@ -36,7 +36,7 @@ ORDERS = 3
 #: Members of a list that gets a pivot first, and sets of a block.
 LONG, BLOCK = 64, 256
 SETS = (
-    "doc_id bigint, n_shingles bigint, set_key binary, grams binary, "
+    "doc_id bigint, copies bigint, n_shingles bigint, set_key binary, grams binary, "
     + ", ".join(f"prefix{k} binary" for k in range(ORDERS))
 )
 
@@ -122,6 +122,7 @@ def _prefixed(docs: DataFrame, counted: DataFrame, parts: int, n: int, percent:
                 column.append(value)
         columns = {
             "doc_id": table["doc_id"],
+            "copies": table["copies"],
             "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
             "set_key": pa.array(digests, pa.binary()),
             "grams": pa.array(payload[0], pa.binary()),
@@ -287,37 +288,61 @@ def _spanning(group: pa.Table, percent: int, side: np.ndarray | None) -> list[tu
     return links
 
 
-def similarity_components(sets: DataFrame, percent: int) -> DataFrame:
-    """``node`` and ``root`` of every set that is linked to a smaller one; ``sets`` has one row per set."""
+def _same_id(rows: DataFrame) -> DataFrame:
+    """Links of the sets of documents that share an id, each with the smallest of them."""
+    own = rows.where("doc_id is not null and set_key is not null").select("doc_id", "node")
+    shared_ids = shared.settled(
+        own.groupBy("doc_id")
+        .agg(F.min("node").alias("other"), F.max("node").alias("most"), F.count(F.lit(1)).alias("size"))
+        .where("other < most")
+        .drop("most")
+    )
+    if shared_ids.isEmpty():
+        return shared_ids.select(F.col("other").alias("node"), "other")
+    return shared.attach(own, shared_ids, "doc_id", "size").where("node > other").select("node", "other").distinct()
+
+
+def similarity_components(sets: DataFrame, given: DataFrame, percent: int) -> DataFrame:
+    """``node`` and ``root`` of every set that is linked to a smaller one; ``sets`` has one row per set.
+
+    ``given`` are links (node, other) that hold besides similarity.
+    """
     lists = shared.settled(_lists(sets).where("token is not null"))
-    stars = shared.settled(_linked(_stars(lists, percent), sets, percent))
+    stars = shared.settled(_linked(_stars(lists, percent), sets, percent).unionByName(given))
     roots = components(stars)
     clusters = shared.settled(_clusters(lists, roots))
     return components(stars.unionAll(_block_links(sets, clusters, percent)))
 
 
+def _components(classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``classes`` with ``component_id``, the smallest document id of all sets linked to its own."""
+    joined = shared.settled(
+        classes.join(roots, "node", "left").select(classes.columns + [F.coalesce("root", "node").alias("root")])
+    )
+    members = joined.groupBy("root").agg(F.min("class_id").alias("component_id"), F.count(F.lit(1)).alias("size"))
+    return shared.attach(joined, members, "root", "size").drop("root", "size", "node")
+
+
 def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     """Per document: ``n_shingles``, ``component_id``, and ``class_id``, the smallest equal one's id."""
     frame, parts = exchange.blocked(docs)
-    rows = shared.stored(_prefixed(frame, _counted(frame, parts, n), parts, n, percent), "sets")
+    prefixed = _prefixed(frame, _counted(frame, parts, n), parts, n, percent)
+    rows = shared.stored(prefixed, "sets").withColumn("node", F.xxhash64("set_key"))
     classes = (
         rows.where("set_key is not null")
-        .groupBy("set_key")
-        .agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("copies"))
+        .groupBy("set_key", "node")
+        .agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("copies"))
     )
-    leaders = classes.select(F.col("class_id").alias("doc_id"), "set_key")
     sets = shared.stored(
         rows.where("grams is not null")
-        .join(leaders, ["doc_id", "set_key"], "left_semi")
-        .dropDuplicates(["doc_id", "set_key"])
-        .withColumnRenamed("doc_id", "node"),
+        .join(classes.where("class_id is not null").select("set_key"), "set_key", "left_semi")
+        .dropDuplicates(["set_key"])
+        .drop("doc_id", "copies"),
         "leaders",
     )
-    roots = similarity_components(sets, percent)
-    classes = classes.join(roots, classes["class_id"] == roots["node"], "left").select(
-        "set_key", "class_id", "copies", F.coalesce("root", "class_id").alias("component_id")
-    )
-    return shared.attach(rows.select("doc_id", "n_shingles", "set_key"), classes, "set_key", "copies").select(
+    classes = _components(classes, similarity_components(sets, _same_id(rows), percent))
+    spread = exchange.spread(rows.select("doc_id", "copies", "n_shingles", "set_key"))
+    return shared.attach(spread, classes, "set_key", "copies").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("set_key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),

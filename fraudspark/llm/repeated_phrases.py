@@ -35,7 +35,7 @@ RUN = 7
 #: Words are spelled to the automaton in this base.
 DIGIT = 64
 LAST = np.iinfo(np.int64).max
-KEPT = "doc_id bigint, n_words bigint, n_removed bigint, kept string"
+KEPT = "doc_id bigint, copies bigint, n_words bigint, n_removed bigint, kept string"
 
 
 class _Block:
@@ -196,7 +196,7 @@ def _automaton(block: _Block, text: str, digits: int, least: np.ndarray, window:
 
 def _mark(docs: DataFrame, phrases: DataFrame, parts: int, window: int) -> DataFrame:
     def mark(table: pa.Table, replies: pa.Table) -> pa.Table:
-        out: dict[str, list] = {"doc_id": [], "n_words": [], "n_removed": [], "kept": []}
+        out: dict[str, list] = {"doc_id": [], "copies": [], "n_words": [], "n_removed": [], "kept": []}
         if table.num_rows:
             block = _Block(table, window)
             numbers: dict[bytes, int] = {}
@@ -211,6 +211,7 @@ def _mark(docs: DataFrame, phrases: DataFrame, parts: int, window: int) -> DataF
             least = _least_of_windows(block, replies.combine_chunks(), parts, window)
             automaton, largest, length = _automaton(block, spelled, digits, least, window)
             out["doc_id"] = block.table["doc_id"].to_pylist()
+            out["copies"] = block.table["copies"].to_pylist()
             for k, found in enumerate(texts):
                 gone = np.zeros(len(found) + 1, np.int32)
                 if automaton is not None and len(found) >= window:
@@ -232,6 +233,7 @@ def _mark(docs: DataFrame, phrases: DataFrame, parts: int, window: int) -> DataF
         return pa.table(
             {
                 "doc_id": pa.array(out["doc_id"], pa.int64()),
+                "copies": pa.array(out["copies"], pa.int64()),
                 "n_words": pa.array(out["n_words"], pa.int64()),
                 "n_removed": pa.array(out["n_removed"], pa.int64()),
                 "kept": pa.array(out["kept"], pa.string()),
@@ -245,7 +247,7 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     """Per document the kept words, joined by one space, and the counts of words and removed words."""
     frame, parts = exchange.blocked(docs)
     anchors = _anchors(frame, parts, window)
-    return _mark(frame, _phrases(frame, anchors, parts, window), parts, window)
+    return exchange.spread(_mark(frame, _phrases(frame, anchors, parts, window), parts, window))
 
 
 def digest(kept: DataFrame) -> DataFrame:

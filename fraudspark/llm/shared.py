@@ -44,11 +44,6 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def text_bytes(docs: DataFrame) -> int:
-    """Bytes of all texts, from which the number of blocks and parts follows."""
-    return docs.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-
-
 def binary_text(name: str = "text") -> Column:
     return F.col(name).cast("binary").alias("text")
 
