@@ -9,7 +9,8 @@ intersected with them. What is left after all terms is an exact occurrence. Term
 bytes, nothing is hashed.
 
 Besides phrases there are proximity matches: an item is near in a document if its rarest distinct
-terms (``anchors`` of them) all occur within ``span`` words around an occurrence of the rarest.
+terms that occur in the documents at all (``anchors`` of them, or as many as there are) all occur
+within ``span`` words around an occurrence of the rarest.
 
 No shuffle: a shard answers for its own documents. The items are broadcast in slices of at most
 ``slice_bytes``; with more than one slice the answers are merged by document.
@@ -105,7 +106,10 @@ def build_index(docs: DataFrame, shard_bytes: int = words.SLICE_BYTES) -> DataFr
                     ),
                 )
 
-    return docs.select("doc_id", shared.binary_text()).mapInArrow(shards, INDEX)
+    index = docs.select("doc_id", shared.binary_text()).mapInArrow(shards, INDEX)
+    # Shards may agree in all rows, so each key gets a number of its own.
+    number = F.unhex(F.format_string("%016x", F.monotonically_increasing_id()))
+    return index.withColumn("shard", F.concat("shard", number))
 
 
 def term_counts(index: DataFrame, wanted: set[bytes]) -> dict[bytes, int]:
@@ -214,7 +218,7 @@ def _search(index: DataFrame, items: Items, rank: dict[bytes, int], span: int) -
                                 if items.names[item] is not None:
                                     hit[doc].add(items.names[item])
                 for item, anchors in enumerate(items.anchors):
-                    if items.names[item] and anchors and all(term in postings for term in anchors):
+                    if items.names[item] is not None and anchors and all(term in postings for term in anchors):
                         for doc in _near(anchors, postings, span, doc_of).tolist():
                             near[doc].add(items.names[item])
                 yield pa.RecordBatch.from_pydict(
@@ -249,9 +253,7 @@ def search(
             [name for name, _ in part],
             [Window(k, w) for k, (_, terms) in enumerate(part) for w in dict.fromkeys(windows_of(terms, window))],
             [
-                tuple(sorted(set(terms), key=lambda t: (rank.get(t, 0), t))[:anchors])
-                if len(set(terms)) >= anchors
-                else ()
+                tuple(sorted((t for t in set(terms) if t in rank), key=lambda t: (rank[t], t))[:anchors])
                 for _, terms in part
             ],
         )
