@@ -19,6 +19,7 @@ from fraudspark.llm import (
     repeated_phrases,
     sentencepiece_bpe,
     toxicity,
+    whitening,
 )
 from fraudspark.llm.shared import table
 
@@ -65,6 +66,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_rows(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
+    "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
 ORACLES: dict[str, str] = {
