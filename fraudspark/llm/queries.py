@@ -19,6 +19,7 @@ from fraudspark.llm import (
     repeated_phrases,
     sentencepiece_bpe,
     toxicity,
+    warc,
     whitening,
 )
 from fraudspark.llm.shared import table
@@ -66,6 +67,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_rows(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.archive(table(spark, sf_dir, "pages"), least_bytes=0))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
+    "op11_warc": op11_warc,
     "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
@@ -88,4 +94,5 @@ ORACLES: dict[str, str] = {
     "op6_exact_dedup": digest_index.SQL,
     "op9_line_dedup": line_dedup.SQL,
     "op10_sharding": hash_tree.sql(40),
+    "op11_warc": warc.SQL,
 }

@@ -31,10 +31,10 @@ def scratch(spark: SparkSession, purpose: str) -> str:
     return f"{named.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, compression: str | None = None) -> DataFrame:
     """Write the frame to the shared folder and read it again, so that it is computed once."""
     path = scratch(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
