@@ -18,6 +18,7 @@ from fraudspark.llm import (
     quality,
     repeated_phrases,
     sentencepiece_bpe,
+    spelling,
     toxicity,
     warc,
     whitening,
@@ -71,6 +72,10 @@ def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.archive(table(spark, sf_dir, "pages"), least_bytes=0))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_sharding": op10_sharding,
     "op11_warc": op11_warc,
+    "op12_spelling_variants": op12_spelling_variants,
     "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": corpus_pipeline.run,
 }
@@ -95,4 +101,5 @@ ORACLES: dict[str, str] = {
     "op9_line_dedup": line_dedup.SQL,
     "op10_sharding": hash_tree.sql(40),
     "op11_warc": warc.SQL,
+    "op12_spelling_variants": spelling.SQL,
 }

@@ -392,7 +392,7 @@ SQL = f"""
 WITH p AS (SELECT page_id, coalesce(html, '') AS t FROM pages),
 d AS (SELECT page_id, strlen(t) AS payload_bytes, sha1(t) AS h, max(page_id) OVER (PARTITION BY t) AS keep FROM p)
 SELECT page_id, payload_bytes,
-       list_aggregate(list_transform(range(32), k -> substr('{_ALPHABET}', 1 + CAST(
+       list_aggregate(list_transform(range(32), lambda k: substr('{_ALPHABET}', 1 + CAST(
            (CAST('0x' || substr(h, CAST(1 + 5 * (k // 4) AS INTEGER), 5) AS BIGINT) >> CAST(15 - 5 * (k % 4) AS INTEGER)) & 31 AS INTEGER), 1)),
            'string_agg', '') AS payload_digest,
        CASE WHEN keep <> page_id OR (keep IS NOT NULL AND page_id IS NULL) THEN 'revisit' ELSE 'response' END AS record_type,
