@@ -1,14 +1,17 @@
 """Spelling variants: words one edit apart, found by walking a distributed trie level by level.
 
-The trie is two tables, keyed by 64-bit hashes of prefixes. It holds every word twice, forwards and
-backwards, and keeps the nodes at which words part; an edge carries the letters down to the next such
-node, or to the end of its only word. A walk is a row (word, position, node, edits). Two words one
-edit apart either share the first half of the first word, or they share the rest of it from the
-end; so walks start with no edit at the nodes of the word's own path in its second half, forwards and
-backwards, where few words are left. Joining the edges, a walk spends its edit on a letter replaced,
-inserted or deleted and goes on only where the edge's letters agree with the word's. A walk that
-reaches the end of a word with one edit has found a neighbour; the others form the next level's
-frontier, until it is empty. Levels are parting nodes, not letters, so long words need no more of them.
+The trie is a table of edges between prefixes, which go by 64-bit hashes. It holds every word twice,
+forwards and backwards, and keeps the nodes at which words part; an edge carries the letters down to
+the next such node, or to the end of its only word. A walk is a row (word, position, node, edits). Of
+two words one edit apart, the shorter one, or the one with the smaller letter, looks for the other;
+both share the first half of the one that looks, or else the rest of it from the end. So its walks
+start with no edit at the nodes of its own path in the second half, forwards and backwards, where few
+words are left. The first join with the edges spends the edit on a letter replaced or inserted, and
+every level after it joins the one edge that begins with the walk's next letter. A walk goes on only
+where the edge's letters agree with the word's and the node below has an edge for the letter after
+them (edges carry the letters of that node as bits). A walk that reaches the end of a word has found a
+neighbour; the others form the next level's frontier, until it is empty. Levels are parting nodes,
+not letters, so long words need no more of them.
 
 Counting is native and combined before the shuffle. Nodes that many words pass are salted by the
 number of their words; a node has at most one edge per letter.
@@ -20,11 +23,12 @@ is the form. Tables without words of the kind give no rows. Only ``doc_id`` and
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fraudspark.llm import shared, words
@@ -34,10 +38,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 DELETE_EVERY, LEAST_LENGTH, LEAST_COUNT, FORM_TIMES = 31, 7, 2, 10
 #: Words of a node that one salt of it serves.
 NODE_WORDS = 20_000
-#: Code points and rows that a task works on at once.
-_POINTS, _END = 1 << 18, -1
+#: Code points that a task works on at once.
+_POINTS = 1 << 18
+#: Number of a letter: a-z from 0 and À-ÿ from 64, so that two longs hold a set; and of a word's end.
+_OTHERS, _END = 64, 62
 
-PATHS = "id bigint, back boolean, depth int, node bigint, next int"
+STEPS = "id bigint, back boolean, depth int, node bigint, letter int"
 
 
 def occurrences(docs: DataFrame) -> DataFrame:
@@ -53,12 +59,11 @@ def occurrences(docs: DataFrame) -> DataFrame:
     return counted.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LEAST_COUNT)
 
 
-def _hashed_prefixes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """For every word and depth from half its length on: word index, depth, node and next letter."""
+def _hashed_prefixes(texts: list[str], low: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For every word and depth from the given one on: word index, depth, node and next letter."""
     points = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
     lengths = np.array([len(t) for t in texts], np.int64)
     first = np.concatenate([[0], np.cumsum(lengths)])
-    low = (lengths - 1) // 2
     each = lengths - low + 1
     owner = np.repeat(np.arange(len(texts)), each)
     depth = np.arange(len(owner)) - np.repeat(np.cumsum(each) - each - low, each)
@@ -66,11 +71,12 @@ def _hashed_prefixes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarr
     values = words.mix(points.astype(np.uint64), 21) * words.powers(words._BASE, int(lengths.max()))[place]
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values, dtype=np.uint64)])
     node = words.mix(sums[first[owner] + depth] - sums[first[owner]] + words.mix(depth.astype(np.uint64), 22), 23)
-    after = np.append(points, 0)[first[owner] + depth]
+    letters = np.where(points < 128, points - ord("a"), points - ord("À") + _OTHERS)
+    after = np.append(letters, 0)[first[owner] + depth]
     return owner, depth, node, np.where(depth == lengths[owner], _END, after)
 
 
-def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _steps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts = batch["id"].to_numpy(), batch["word"].to_pylist()
         ends = np.cumsum([len(t) for t in texts])
@@ -80,7 +86,10 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             end = max(begin + 1, int(np.searchsorted(ends, most, side="right")))
             for back in (False, True):
                 part = [t[::-1] for t in texts[begin:end]] if back else texts[begin:end]
-                owner, depth, node, after = _hashed_prefixes(part)
+                lengths = np.array([len(t) for t in part], np.int64)
+                # Where the shortest word that looks for this one may start.
+                low = lengths // 2 if back else (lengths - 1) // 2
+                owner, depth, node, after = _hashed_prefixes(part, low)
                 if back:
                     node = words.mix(node, 24)
                 yield pa.RecordBatch.from_pydict(
@@ -89,7 +98,7 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "back": pa.array(np.full(len(owner), back)),
                         "depth": pa.array(depth.astype(np.int32)),
                         "node": pa.array(node.view(np.int64)),
-                        "next": pa.array(after.astype(np.int32)),
+                        "letter": pa.array(after.astype(np.int32)),
                     }
                 )
             begin = end
@@ -99,102 +108,119 @@ def _oriented() -> Column:
     return F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word"))
 
 
-def _salts(n: Column) -> Column:
-    return F.ceil(n / NODE_WORDS)
+def _after(text: Column, start: Column | int) -> Column:
+    """The text from a position, counted from 1, to its end."""
+    return F.substring(text, F.lit(start) if isinstance(start, int) else start, F.char_length(text))
+
+
+def _letter(text: Column) -> Column:
+    """Number of the first letter of a text, or of its end."""
+    point = F.ascii(text)
+    return F.when(text == "", _END).when(point < 128, point - ord("a")).otherwise(point - ord("À") + _OTHERS)
+
+
+def _holds(letter: Column) -> Column:
+    """Whether the node below an edge has an edge for the letter."""
+    return F.when(letter < _OTHERS, F.getbit("low", letter)).otherwise(F.getbit("high", letter - _OTHERS)) == 1
+
+
+def _salts() -> Column:
+    return F.ceil(F.col("words") / NODE_WORDS)
 
 
 def trie(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of a stored table ``id, word, n``: each word with its path of parting nodes, and the nodes.
+    """Of a stored table ``id, word, n``: every word at each parting node of its path, and the edges.
 
-    The nodes have ``node, words`` and ``edges``; an edge its first letter (``next``), its letters
-    (``label``), and the node it leads to (``child``, ``child_words``) or the word it ends (``leaf, leaf_n``).
+    An edge has its node and the number of ``words`` there, its first ``letter``, all its letters
+    (``label``), and the node it leads to (``child, child_words`` and its letters ``low, high``) or the
+    word it ends (``leaf, leaf_n``).
     """
-    steps = shared.stored(counted.select("id", "word").mapInArrow(_paths, PATHS), "trie-steps", "zstd")
+    steps = shared.stored(counted.select("id", "word").mapInArrow(_steps, STEPS), "trie-steps", "zstd")
+    bit, none = F.expr("shiftleft(1L, letter % 64)"), F.lit(0).cast("bigint")
     parting = shared.stored(
         steps.groupBy("node")
-        .agg(F.min("next").alias("a"), F.max("next").alias("b"), F.count(F.lit(1)).alias("words"))
-        .where("a < b")
-        .select("node", "words"),
+        .agg(
+            F.bit_or(F.when(F.col("letter") < _OTHERS, bit).otherwise(none)).alias("low"),
+            F.bit_or(F.when(F.col("letter") >= _OTHERS, bit).otherwise(none)).alias("high"),
+            F.count(F.lit(1)).alias("words"),
+        )
+        .where(F.bit_count("low") + F.bit_count("high") > 1),
         "trie-nodes",
+        "zstd",
     )
     kept = shared.attach(steps, parting, "node", "words").where(F.col("words").isNotNull())
-    path = kept.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("back", "depth", "node", "next", "words"))).alias("path"))
-    spelled = shared.stored(counted.join(path, "id", "left"), "trie-words")
-    at = spelled.select(
-        "word", "n", F.posexplode("path").alias("k", "e"), "path"
-    ).select("word", "n", "e.*", F.try_element_at("path", F.col("k") + 2).alias("below"))
-    below = F.when(F.col("below.back") == F.col("back"), F.col("below"))
-    at = at.withColumn("below", below)
-    inner = F.col("below").isNotNull()
-    size = F.when(inner, F.col("below.depth") - F.col("depth")).otherwise(F.char_length("word"))
-    edge = F.struct(
-        "next",
-        F.substring(_oriented(), F.col("depth") + 1, size).alias("label"),
-        F.col("below.node").alias("child"),
-        F.col("below.words").alias("child_words"),
-        F.when(~inner, F.col("word")).alias("leaf"),
-        F.when(~inner, F.col("n")).alias("leaf_n"),
+    below = Window.partitionBy("id", "back").orderBy("depth")
+    ahead = {f"next_{c}": F.lead(c).over(below) for c in ("node", "depth", "words", "low", "high")}
+    placed = shared.stored(kept.join(counted, "id").withColumns(ahead).drop("low", "high"), "trie-words", "zstd")
+    known = [F.col("next_node").alias("child"), F.col("next_words").alias("child_words"), F.col("next_low").alias("low"), F.col("next_high").alias("high")]
+    inner = placed.where("next_node IS NOT NULL").select(
+        "node", "words", "letter",
+        F.substring(_oriented(), F.col("depth") + 1, F.col("next_depth") - F.col("depth")).alias("label"), *known,
+        F.lit(None).cast("string").alias("leaf"), F.lit(None).cast("bigint").alias("leaf_n"),
+    )
+    ends = placed.where("next_node IS NULL").select(
+        "node", "words", "letter", _after(_oriented(), F.col("depth") + 1).alias("label"), *known,
+        F.col("word").alias("leaf"), F.col("n").alias("leaf_n"),
     )
-    edges = at.groupBy("node", "next").agg(F.min(edge).alias("edge"), F.first("words").alias("words"))
-    nodes = edges.groupBy("node").agg(F.max("words").alias("words"), F.collect_list("edge").alias("edges"))
-    return spelled, shared.stored(nodes, "trie-edges")
+    return placed, shared.stored(inner.distinct().unionByName(ends), "trie-edges", "zstd")
 
 
-def _advance(walks: DataFrame, nodes: DataFrame) -> DataFrame:
-    """One level: the walks that an edge lets through, with ``leaf, leaf_n`` or a ``child`` to go on from."""
-    spread = nodes.select(
-        "node", "edges", F.explode(F.sequence(F.lit(0).cast("bigint"), _salts(F.col("words")) - 1)).alias("salt")
-    )
-    salted = walks.withColumn("salt", F.pmod(F.xxhash64("id", "pos"), _salts(F.col("words"))))
-    rest = F.substring(_oriented(), F.col("pos") + 1, F.char_length("word"))
-    met = salted.withColumn("rest", rest).join(spread, ["node", "salt"])
-    first = F.coalesce(F.when(F.col("rest") != "", F.ascii("rest")), F.lit(_END))
-    fresh = F.col("edits") == 0
-    # A walk without an edit must leave its own path here; one with an edit must stay on it.
-    chosen = F.filter("edges", lambda e: F.when(fresh, e["next"] != first).otherwise(e["next"] == first))
-    each = met.select("id", "word", "n", "back", "pos", "edits", "rest", F.explode(chosen).alias("e"))
-    label, tail = F.col("e.label"), F.substring("e.label", F.lit(2), F.char_length("e.label"))
-    skipped = F.substring("rest", F.lit(2), F.char_length("rest"))
-
-    def move(skips: int, mine: Column, letters: Column) -> Column:
-        return F.struct(F.lit(skips).alias("skips"), mine.alias("mine"), letters.alias("letters"))
-
-    replace = F.when((F.col("rest") != "") & (label != ""), move(1, skipped, tail))
-    insert = F.when(label != "", move(0, F.col("rest"), tail))
-    delete = F.when(F.col("rest") != "", move(1, skipped, label))
-    moves = F.when(fresh, F.array_compact(F.array(replace, insert, delete))).otherwise(F.array(move(0, F.col("rest"), label)))
-    through = each.select("*", F.explode(moves).alias("m")).where(
-        F.when(F.col("e.leaf").isNotNull(), F.col("m.mine") == F.col("m.letters")).otherwise(
-            F.startswith(F.col("m.mine"), F.col("m.letters"))
-        )
+def _fits(mine: Column, letters: Column) -> Column:
+    """Whether an edge's letters, all or the rest of them, are the next of a walk, and more can follow."""
+    on = F.startswith(mine, letters) & _holds(_letter(F.substring(mine, F.char_length(letters) + 1, F.lit(1))))
+    return F.when(F.col("leaf").isNotNull(), mine == letters).otherwise(on)
+
+
+def _moved(met: DataFrame, skips: Column, letters: Column) -> DataFrame:
+    return met.select(
+        "word", "n", "back", (F.col("pos") + skips + F.char_length(letters)).alias("pos"), F.lit(1).alias("edits"),
+        F.col("child").alias("node"), F.col("child_words").alias("words"), "leaf", "leaf_n",
     )
-    return through.select(
-        "id", "word", "n", "back", (F.col("pos") + F.col("m.skips") + F.char_length("m.letters")).alias("pos"),
-        F.lit(1).alias("edits"), F.col("e.child").alias("node"), F.col("e.child_words").alias("words"),
-        F.col("e.leaf").alias("leaf"), F.col("e.leaf_n").alias("leaf_n"),
+
+
+def _spend(walks: DataFrame, edges: DataFrame) -> DataFrame:
+    """The first level: walks leave their own path by a letter replaced or inserted."""
+    salt = F.explode(F.sequence(F.lit(0).cast("bigint"), _salts() - 1)).alias("salt")
+    spread = edges.where("label <> ''").withColumn("tail", _after(F.col("label"), 2)).select("*", salt).drop("words", "label")
+    rest = _after(_oriented(), F.col("pos") + 1)
+    salted = walks.select(
+        "word", "n", "back", "pos", "edits", F.col("letter").alias("own"), "node", F.pmod(F.xxhash64("word"), _salts()).alias("salt"),
+        rest.alias("rest"), _after(rest, 2).alias("skipped"),
     )
+    inserted = _fits(F.col("rest"), F.col("tail"))
+    replaced = (F.col("letter") > F.col("own")) & (F.col("rest") != "") & _fits(F.col("skipped"), F.col("tail"))
+    met = salted.join(spread, ["node", "salt"]).where((F.col("letter") != F.col("own")) & (inserted | replaced))
+    skips = F.array_compact(F.array(F.when(inserted, 0), F.when(replaced, 1)))
+    return _moved(met.withColumn("skips", F.explode(skips)), F.col("skips"), F.col("tail"))
+
+
+def _follow(walks: DataFrame, edges: DataFrame) -> DataFrame:
+    """A later level: walks with an edit go on along the edge of their next letter."""
+    rest = _after(_oriented(), F.col("pos") + 1)
+    salted = walks.select("word", "n", "back", "pos", "edits", "node", rest.alias("rest"), _letter(rest).alias("letter"))
+    met = salted.join(edges.drop("words"), ["node", "letter"]).where(_fits(F.col("rest"), F.col("label")))
+    return _moved(met, F.lit(0), F.col("label"))
 
 
-def neighbours(spelled: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``id``, ``near`` and ``near_n``: for every word each word one edit away, once."""
+def neighbours(placed: DataFrame, edges: DataFrame) -> DataFrame:
+    """``word``, ``near`` and ``near_n``: for every word each word one edit away, once."""
     half = F.floor(F.char_length("word") / 2).cast("int")
     start = F.when(F.col("back"), F.char_length("word") - half).otherwise(half)
-    frontier = (
-        spelled.select("id", "word", "n", F.explode("path").alias("e"))
-        .select("id", "word", "n", "e.back", F.col("e.depth").alias("pos"), F.lit(0).alias("edits"), "e.node", "e.words")
-        .where(F.col("pos") >= start)
+    walks = placed.where(F.col("depth") >= start).select(
+        "word", "n", "back", F.col("depth").alias("pos"), F.lit(0).alias("edits"), "node", "words", "letter"
     )
-    # Words that share their first half are found forwards, all others backwards.
+    # Words that share the first half of the one that looks are found forwards, all others backwards.
     apart = F.substring("word", F.lit(1), half) != F.substring("leaf", F.lit(1), half)
     once = F.when(F.col("back"), apart).otherwise(F.lit(True)) & (F.levenshtein("word", "leaf", 1) == 1)
-    found: DataFrame | None = None
+    found, step = [], _spend
     while True:
-        level = shared.stored(_advance(frontier, nodes), "trie-walks", "zstd")
-        ended = level.where(F.col("leaf").isNotNull() & once).select("id", F.col("leaf").alias("near"), F.col("leaf_n").alias("near_n"))
-        found = ended if found is None else found.unionAll(ended)
-        frontier = level.where(F.col("leaf").isNull()).drop("leaf", "leaf_n")
-        if frontier.isEmpty():
-            return found
+        level = shared.stored(step(walks, edges), "trie-walks", "zstd")
+        pairs = level.where(F.col("leaf").isNotNull() & once)
+        found.append(pairs.select("word", F.col("leaf").alias("near"), F.col("leaf_n").alias("near_n")))
+        found.append(pairs.select(F.col("leaf").alias("word"), F.col("word").alias("near"), F.col("n").alias("near_n")))
+        walks, step = level.where(F.col("leaf").isNull()).drop("leaf", "leaf_n"), _follow
+        if walks.isEmpty():
+            return functools.reduce(DataFrame.unionAll, found)
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -213,11 +239,11 @@ def variants(docs: DataFrame, form_times: int = FORM_TIMES) -> DataFrame:
     counted = shared.stored(occurrences(docs).select(F.monotonically_increasing_id().alias("id"), "word", "n"), "words")
     near = neighbours(*trie(counted))
     first = F.min(F.struct((-F.col("near_n")).alias("minus"), F.col("near").alias("word"))).alias("first")
-    groups = near.groupBy("id").agg(F.count(F.lit(1)).alias("n_near"), first)
+    groups = near.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), first)
     most = -F.col("first.minus")
     formed = most >= F.col("n") * form_times
     joined = shared.stored(
-        counted.join(groups, "id", "left").select(
+        counted.join(groups, "word", "left").select(
             "word", "n", F.coalesce("n_near", F.lit(0).cast("bigint")).alias("n_near"),
             F.when(formed, F.col("first.word")).alias("form"), F.when(formed, most).alias("form_n"),
         ),
