@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import replace
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +30,8 @@ from fraudspark.plans.storage import fresh_path
 from fraudspark.sources import exports, refdata, wire
 from fraudspark.streaming import sinks
 from fraudspark.streaming import state as stream_state
+from fraudspark.streaming.publication import Publication, publishing
+from fraudspark.streaming.ring import ring_velocity
 from fraudspark.streaming.velocity import stream_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -1106,6 +1109,21 @@ SELECT t.transaction_id, walk.seen AS device_seen_before FROM t LEFT JOIN walk U
 """
 
 
+_MERCHANT_CHAIN = f"""
+WITH RECURSIVE t AS ({w.DUCKDB_TRANSACTIONS}),
+f AS (SELECT merchant_id, event_us, min(transaction_id) AS first FROM t WHERE merchant_id IS NOT NULL AND event_us IS NOT NULL GROUP BY ALL),
+walk AS (
+  SELECT merchant_id, min(event_us) AS at FROM f GROUP BY merchant_id
+  UNION ALL
+  SELECT w.merchant_id, (SELECT min(f.event_us) FROM f WHERE f.merchant_id = w.merchant_id AND f.event_us >= w.at + {o.HOUR})
+  FROM walk w WHERE w.at IS NOT NULL)
+SELECT t.transaction_id, CASE WHEN t.merchant_id IS NOT NULL AND t.event_us IS NOT NULL
+  THEN coalesce(t.transaction_id <> s.first, TRUE) END AS merchant_seen_before
+FROM t LEFT JOIN (SELECT f.* FROM f JOIN walk ON f.merchant_id = walk.merchant_id AND f.event_us = walk.at) s
+  ON t.merchant_id = s.merchant_id AND t.event_us = s.event_us
+"""
+
+
 def _device_sql(ttl_us: int) -> str:
     return _DEVICE_FOLD.format(t=w.DUCKDB_TRANSACTIONS, ttl=ttl_us)
 
@@ -1121,6 +1139,19 @@ def _k1_expiring(spark, sf_dir):
     return state.device_history(txns(spark, sf_dir), config).select("transaction_id", "device_seen_before")
 
 
+@query("K1_device_history_hourly", _device_sql(o.HOUR))
+def _k1_hourly(spark, sf_dir):
+    config = replace(CONFIG, device_ttl_us=o.HOUR)
+    return state.device_history(txns(spark, sf_dir), config).select("transaction_id", "device_seen_before")
+
+
+@query("K1_merchant_history_hourly", _MERCHANT_CHAIN)
+def _k1_merchant(spark, sf_dir):
+    # Half of all rows have one merchant, whose chain has a link for nearly every hour.
+    flagged = state.seen_before(txns(spark, sf_dir), ["merchant_id"], "merchant_seen_before", o.HOUR, config=CONFIG)
+    return flagged.select("transaction_id", "merchant_seen_before")
+
+
 _TRAILING_SQL = o.over_transactions(
     "SELECT transaction_id, CASE WHEN card_token IS NULL THEN 1 ELSE COUNT(*) OVER (PARTITION BY card_token "
     "ORDER BY event_us RANGE BETWEEN 60000000 PRECEDING AND CURRENT ROW) END AS card_txn_count_trailing FROM t"
@@ -1177,32 +1208,47 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 _FUTURE_ID, _CLOSING_ID = -3, -6
 
 
-def _batched_stream(spark: SparkSession, sf_dir: str, extra: dict[int, tuple[int, str]], parts: int = 4) -> DataFrame:
-    """The events in files of rising time, one per micro-batch, and further events in some of them.
-
-    ``extra``: by file number, the id and the time of an event more, of the busiest card.
-    """
+def _event_parts(spark: SparkSession, sf_dir: str, parts: int) -> tuple[DataFrame, Column]:
+    """The events and the number of their part, by rising time; those without a time are in the first."""
     events = w.table(spark, sf_dir, "events")
-    folder = fresh_path(spark, "batches")
     at = F.unix_micros(F.col("ts").cast("timestamp"))
     order = at - at % 3_600_000_000 + at % 180_000_000
     low, high = events.select(order.alias("us")).agg(F.min("us"), F.max("us")).first()
     number = F.least(F.floor((order - low) * parts / (high - low + 1)), F.lit(parts - 1))
-    for k in range(parts + 1):
-        part = events.where(number == k)
-        if k in extra:
-            row_id, when = extra[k]
-            more = events.limit(1).withColumns(
-                {"event_id": F.lit(row_id).cast("bigint"), "ts": F.lit(when).cast(events.schema["ts"].dataType)}
-            )
-            part = part.unionByName(more)
-        part.coalesce(1).write.parquet(f"{folder}/b={k}")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{folder}/b=*")
-    return w.transactions_of(stream)
+    return events, F.coalesce(number, F.lit(0).cast("bigint"))
+
+
+def _busy_event(events: DataFrame, row_id: int, when: str) -> DataFrame:
+    """One event more of the busiest card, at the given time."""
+    return events.limit(1).withColumns(
+        {"event_id": F.lit(row_id).cast("bigint"), "ts": F.lit(when).cast(events.schema["ts"].dataType)}
+    )
+
 
+def _drained_in_batches(
+    spark: SparkSession, batches: list[DataFrame], steps: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Run ``steps`` over events that arrive batch by batch, one micro-batch for each.
 
-def _with_future(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _batched_stream(spark, sf_dir, {1: (_FUTURE_ID, "2199-01-01 00:00:00")})
+    All tasks write and read a batch; the query starts again for each of them from its checkpoint.
+    """
+    folder, out, progress = (fresh_path(spark, n) for n in ("batches", "drained", "progress"))
+    schema = batches[0].schema
+    for k, batch in enumerate(batches):
+        batch.write.parquet(f"{folder}/b={k}")
+        stream = steps(w.transactions_of(spark.readStream.schema(schema).parquet(f"{folder}/b=*")))
+        writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", progress)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+def _four_batches(spark: SparkSession, sf_dir: str, future: bool = False) -> list[DataFrame]:
+    """The events in four parts, the second of them with an event from the far future if asked for."""
+    events, number = _event_parts(spark, sf_dir, 4)
+    parts = [events.where(number == k) for k in range(4)]
+    if future:
+        parts[1] = parts[1].unionByName(_busy_event(events, _FUTURE_ID, "2199-01-01 00:00:00"))
+    return parts
 
 
 _GIVEN = "transaction_id NOT LIKE '%-%'"
@@ -1210,20 +1256,26 @@ _GIVEN = "transaction_id NOT LIKE '%-%'"
 
 @query("K1_stream_device_history", _device_sql(90 * o.DAY))
 def _k1_stream(spark, sf_dir):
-    stream = stream_state.stream_device_history(_batched_stream(spark, sf_dir, {}), CONFIG)
-    return _drained(stream.select("transaction_id", "device_seen_before"), spark)
+    def flag(stream: DataFrame) -> DataFrame:
+        return stream_state.stream_device_history(stream, CONFIG).select("transaction_id", "device_seen_before")
+
+    return _drained_in_batches(spark, _four_batches(spark, sf_dir), flag)
 
 
 @query("K2_stream_trailing_count", _TRAILING_SQL)
 def _k2_stream(spark, sf_dir):
-    stream = stream_state.stream_trailing_count(_with_future(spark, sf_dir))
-    return _drained(stream.select("transaction_id", "card_txn_count_trailing"), spark).where(_GIVEN)
+    def count(stream: DataFrame) -> DataFrame:
+        return stream_state.stream_trailing_count(stream).select("transaction_id", "card_txn_count_trailing")
+
+    return _drained_in_batches(spark, _four_batches(spark, sf_dir, future=True), count).where(_GIVEN)
 
 
 @query("K3_stream_merchant_first_seen", _FIRST_SQL)
 def _k3_stream(spark, sf_dir):
-    stream = stream_state.stream_merchant_first_seen(_with_future(spark, sf_dir))
-    return _drained(stream.select("transaction_id", "is_merchant_first_seen"), spark).where(_GIVEN)
+    def flag(stream: DataFrame) -> DataFrame:
+        return stream_state.stream_merchant_first_seen(stream).select("transaction_id", "is_merchant_first_seen")
+
+    return _drained_in_batches(spark, _four_batches(spark, sf_dir, future=True), flag).where(_GIVEN)
 
 
 @query(
@@ -1236,11 +1288,65 @@ def _k3_stream(spark, sf_dir):
 )
 def _w1(spark, sf_dir):
     # Rows leave once their hour and the watermark have passed; a last event closes the last hour.
-    events = _batched_stream(spark, sf_dir, {1: (_CLOSING_ID, "2199-01-01 00:00:00")}, parts=1)
-    done = _drained(stream_velocity(events, CONFIG).drop("window"), spark)
+    events = w.table(spark, sf_dir, "events")
+    batches = [events, _busy_event(events, _CLOSING_ID, "2199-01-01 00:00:00")]
+    done = _drained_in_batches(spark, batches, lambda stream: stream_velocity(stream, CONFIG).drop("window"))
     return done.where(_GIVEN).select("transaction_id", *[_rounded(c) for c in _VELOCITY_SQL])
 
 
+def _sofar(measure: str, key: str, width_us: int) -> str:
+    order = f"PARTITION BY {key}, event_us // {width_us} ORDER BY event_us, transaction_id ROWS UNBOUNDED PRECEDING"
+    return f"CASE WHEN {key} IS NOT NULL AND event_us IS NOT NULL THEN {measure} OVER ({order}) END"
+
+
+def _ring_sql() -> dict[str, str]:
+    made = {}
+    for key, windows in (("card_token", CONFIG.card_windows), ("merchant_id", CONFIG.merchant_windows)):
+        for v in windows:
+            named = {v.count: "COUNT(*)", v.total: "SUM(amount)", v.mean: "AVG(amount)", v.largest: "MAX(amount)"}
+            for name, measure in named.items():
+                if name == v.count:
+                    made[name] = f"COALESCE({_sofar(measure, key, v.width_us)}, 1)"
+                elif name:
+                    made[name] = f"ROUND({_sofar(measure, key, v.width_us)}, {5 if name == v.mean else 2})"
+    return made
+
+
+@query(
+    "V1_stream_ring",
+    o.over_transactions("SELECT transaction_id, " + ", ".join(f"{sql} AS {c}" for c, sql in _ring_sql().items()) + " FROM t"),
+)
+def _v1_ring(spark, sf_dir):
+    done = _drained_in_batches(spark, _four_batches(spark, sf_dir), lambda stream: ring_velocity(stream, CONFIG))
+    return done.where("late_reason IS NULL").select("transaction_id", *[_rounded(c) for c in _ring_sql()])
+
+
+_AGAIN = -1_000_000
+_PART_SQL = (
+    "COALESCE(LEAST(FLOOR((event_us - MIN(event_us) OVER ()) * 4 / (MAX(event_us) OVER () - MIN(event_us) OVER () + 1)), 3), 0)"
+)
+
+
+@query(
+    "W1_late_rows",
+    o.over_transactions(
+        f"SELECT event_id, late_reason, late_by_us FROM (SELECT *, {_PART_SQL} AS part FROM t) p, "
+        "LATERAL (SELECT CAST(NULL AS VARCHAR) AS late_reason, CAST(NULL AS BIGINT) AS late_by_us) UNION ALL "
+        f"SELECT {_AGAIN} - event_id, 'LATE_EVENT', seen // 1000 * 1000 - 60000000 - event_us FROM ("
+        "SELECT *, MAX(event_us) FILTER (part <= 1) OVER () AS seen "
+        f"FROM (SELECT *, {_PART_SQL} AS part FROM t)) WHERE part = 0 AND event_us IS NOT NULL AND event_id % 50 = 7"
+    ),
+)
+def _w1_late(spark, sf_dir):
+    # Every fiftieth event of the first part comes again, two parts too late, under another id.
+    events, number = _event_parts(spark, sf_dir, 4)
+    parts = _four_batches(spark, sf_dir)
+    again = events.where((number == 0) & F.col("ts").isNotNull() & (F.col("event_id") % 50 == 7))
+    parts[2] = parts[2].unionByName(again.withColumn("event_id", _AGAIN - F.col("event_id")))
+    done = _drained_in_batches(spark, parts, lambda stream: ring_velocity(stream, CONFIG))
+    return done.select("event_id", "late_reason", "late_by_us")
+
+
 @query(
     "W2_tumbling_windows",
     o.over_transactions(
@@ -1307,6 +1413,49 @@ def _x2(spark, sf_dir):
     return reports.running_totals(spark.read.parquet(out), ["records", "high_risk"])
 
 
+@query(
+    "S7_committed_publication",
+    o.over_scored(
+        "SELECT 'records' AS channel, transaction_id AS name, CAST(composite_risk_score AS BIGINT) AS number FROM s "
+        "WHERE event_id % 97 <> 5 UNION ALL SELECT 'dead_letters', transaction_id, NULL FROM s WHERE event_id % 97 = 5 "
+        "UNION ALL SELECT 'metrics', provider, COUNT(*) FROM s GROUP BY provider"
+    ),
+)
+def _s7_committed(spark, sf_dir):
+    # The sink fails once, with two of three channels written; the batch is replayed and then gathered.
+    out, progress = Publication(spark, fresh_path(spark, "published")), fresh_path(spark, "progress")
+    refs, failed = refdata.ReferenceTables(spark), []
+
+    def channels(batch: DataFrame):
+        done = velocity.velocity(batch, CONFIG).transform(joins.join_reference, refs).transform(features.add_features, CONFIG)
+        yield "records", done.where("event_id % 97 <> 5").select("transaction_id", "composite_risk_score")
+        yield "dead_letters", done.where("event_id % 97 = 5").select("transaction_id")
+        if not failed:
+            failed.append(True)
+            raise RuntimeError("the sink is down")
+        yield "metrics", reports.records_per_provider(batch)
+
+    def run() -> None:
+        sinks.start(_event_stream(spark, sf_dir), publishing(out, channels), progress).awaitTermination()
+
+    try:
+        run()
+    except StreamingQueryException:
+        if out.counts():
+            raise
+    run()
+    out.compact()
+
+    def told(channel: str, name: str, number: Column) -> DataFrame:
+        return out.read(channel).select(F.lit(channel).alias("channel"), F.col(name).alias("name"), number.cast("bigint").alias("number"))
+
+    return (
+        told("records", "transaction_id", F.col("composite_risk_score"))
+        .unionAll(told("dead_letters", "transaction_id", F.lit(None)))
+        .unionAll(told("metrics", "provider", F.col("records")))
+    )
+
+
 # ---------------------------------------------------------------- whole jobs
 
 

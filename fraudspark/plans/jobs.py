@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from fraudspark.config import EngineConfig
 from fraudspark.functions import crypto
-from fraudspark.operators import features, parse, state, tokenise, validate, velocity
+from fraudspark.operators import features, parse, reports, state, tokenise, validate, velocity
 from fraudspark.operators.joins import join_reference
 from fraudspark.operators.normalise import canonical_columns as normalised_columns
 from fraudspark.operators.normalise import normalise, with_usability
 from fraudspark.sources.refdata import ReferenceTables
 from fraudspark.sources.wire import decode_tokenised, tag_provider
 from fraudspark.streaming import sinks
+from fraudspark.streaming.publication import Publication, publishing
+from fraudspark.streaming.ring import ring_velocity
 from fraudspark.streaming.state import stream_device_history
 from fraudspark.streaming.velocity import stream_velocity
 
@@ -103,6 +105,36 @@ def start_tokeniser(
     return sinks.start(routed, step, checkpoint, every)
 
 
+def _enrichment_stream(
+    wire: DataFrame, config: EngineConfig, device_history: bool, immediate: bool, forget: bool
+) -> DataFrame:
+    """Canonical transactions with history and velocity; unusable and late rows have an ``error_reason``."""
+    events = decode_tokenised(wire, config.tokenised_topics)
+    rows = events.select(
+        *normalised_columns(), F.col("error_reason").alias("_unreadable")
+    ).transform(with_usability)
+    rows = rows.withColumn("error_reason", F.coalesce("_unreadable", "error_reason")).drop("_unreadable")
+    usable = rows.where(F.col("error_reason").isNull()).drop("error_reason")
+    if device_history:
+        # An always-on query may also let the store forget keys by processing time.
+        usable = stream_device_history(usable, config, forget=forget)
+    if immediate:
+        moved = ring_velocity(usable, config).withColumnRenamed("late_reason", "error_reason")
+    else:
+        moved = stream_velocity(usable, config).drop("window")
+    failed = rows.where(F.col("error_reason").isNotNull())
+    return moved.unionByName(failed, allowMissingColumns=True)
+
+
+def _enriched(batch: DataFrame, refs: ReferenceTables, config: EngineConfig) -> DataFrame:
+    return (
+        batch.where(F.col("error_reason").isNull())
+        .drop("error_reason", "late_by_us")
+        .transform(enrich_statelessly, refs, config)
+        .transform(score, config)
+    )
+
+
 def start_enrichment(
     wire: DataFrame,
     refs: ReferenceTables,
@@ -113,38 +145,23 @@ def start_enrichment(
     config: EngineConfig = EngineConfig(),
     every: str | None = None,
     device_history: bool = True,
+    immediate: bool = False,
 ):
     """Tokenised wire stream to enriched records, dead letters and metrics, in one query.
 
     Device history and velocity run in the stream; reference joins, features and score run per micro-batch, with
     exchange rates read again for each. Unusable rows skip velocity and go to the dead letters.
-    """
-    events = decode_tokenised(wire, config.tokenised_topics)
-    rows = events.select(
-        *normalised_columns(), F.col("error_reason").alias("_unreadable")
-    ).transform(with_usability)
-    rows = rows.withColumn("error_reason", F.coalesce("_unreadable", "error_reason")).drop("_unreadable")
-    usable = rows.where(F.col("error_reason").isNull()).drop("error_reason")
-    if device_history:
-        # An always-on query may also let the store forget keys by processing time.
-        usable = stream_device_history(usable, config, forget=every is not None)
-    moved = stream_velocity(usable, config).drop("window")
-    failed = rows.where(F.col("error_reason").isNotNull())
-    stream = moved.unionByName(failed, allowMissingColumns=True)
 
-    def enriched(batch: DataFrame) -> DataFrame:
-        return (
-            batch.where(F.col("error_reason").isNull())
-            .drop("error_reason")
-            .transform(enrich_statelessly, refs, config)
-            .transform(score, config)
-        )
+    With ``immediate`` a row leaves in its own micro-batch, with the velocity known so far, and late
+    rows go to the dead letters; otherwise it waits for its hour, and late rows are dropped.
+    """
+    stream = _enrichment_stream(wire, config, device_history, immediate, forget=every is not None)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         refs.refresh_fx()
         kept = batch.persist()
         try:
-            done = enriched(kept).persist()
+            done = _enriched(kept, refs, config).persist()
             try:
                 publish(sinks.enriched_records(done, config.enriched_topics))
                 metrics(done, batch_id)
@@ -156,3 +173,48 @@ def start_enrichment(
             kept.unpersist()
 
     return sinks.start(stream, run, checkpoint, every)
+
+
+def publish_tokenised(
+    wire: DataFrame,
+    secrets,
+    publication: Publication,
+    checkpoint: str,
+    config: EngineConfig = EngineConfig(),
+    every: str | None = None,
+):
+    """As ``start_tokeniser``; records, dead letters and metrics of a batch are published together, once."""
+
+    def channels(batch: DataFrame):
+        yield "records", sinks.tokenised_records(batch, config.tokenised_topics)
+        yield "dead_letters", sinks.tokeniser_dead_letters(batch, config.dead_letter_topics)
+        yield "metrics", reports.tokeniser_counters(batch).coalesce(1)
+
+    return sinks.start(tokenise_wire(wire, secrets, config), publishing(publication, channels), checkpoint, every)
+
+
+def publish_enriched(
+    wire: DataFrame,
+    refs: ReferenceTables,
+    publication: Publication,
+    checkpoint: str,
+    config: EngineConfig = EngineConfig(),
+    every: str | None = None,
+    device_history: bool = True,
+    immediate: bool = False,
+):
+    """As ``start_enrichment``; records, dead letters and metrics of a batch are published together, once."""
+    stream = _enrichment_stream(wire, config, device_history, immediate, forget=every is not None)
+
+    def channels(batch: DataFrame):
+        refs.refresh_fx()
+        done = _enriched(batch, refs, config).persist()
+        try:
+            yield "records", sinks.enriched_records(done, config.enriched_topics)
+            yield "metrics", sinks.batch_metrics(done, config).coalesce(1)
+        finally:
+            done.unpersist()
+        bad = batch.where(F.col("error_reason").isNotNull())
+        yield "dead_letters", sinks.enrichment_dead_letters(bad, config.enrichment_dlq_topic)
+
+    return sinks.start(stream, publishing(publication, channels), checkpoint, every)

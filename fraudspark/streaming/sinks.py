@@ -66,7 +66,10 @@ def enriched_records(enriched: DataFrame, topics: Mapping[str, str]) -> DataFram
 
 
 def enrichment_dead_letters(failed: DataFrame, topic: str, reason: str = "ENRICHMENT_FAILURE") -> DataFrame:
-    """Transactions that could not be enriched; a row's own ``error_reason`` wins over ``reason``."""
+    """Transactions that could not be enriched; a row's own ``error_reason`` wins over ``reason``.
+
+    Of late transactions the record also says by how much they were late.
+    """
     why = F.coalesce("error_reason", F.lit(reason)) if "error_reason" in failed.columns else F.lit(reason)
     record = F.struct(
         "transaction_id",
@@ -74,6 +77,7 @@ def enrichment_dead_letters(failed: DataFrame, topic: str, reason: str = "ENRICH
         why.alias("error_reason"),
         F.current_timestamp().alias("failed_at"),
         F.col("event_timestamp").cast("string").alias("event_timestamp"),
+        *[c for c in ("late_by_us",) if c in failed.columns],
     )
     return failed.select(
         F.lit(None).cast("string").alias("key"), F.to_json(record).alias("value"), F.lit(topic).alias("topic")
@@ -99,15 +103,20 @@ def batch_table(path: str, fmt: str = "parquet") -> Callable[[DataFrame, int], N
     return write
 
 
+def batch_metrics(df: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
+    """Records, high-risk records and latency quantiles per provider of one batch."""
+    counted = provider_metrics(df, config)
+    if {"event_timestamp", "pipeline_enrichment_ts"} <= set(df.columns):
+        counted = counted.join(latency_quantiles(df), "provider", "left")
+    return counted.withColumn("written_at", F.current_timestamp())
+
+
 def write_metrics(path: str, config: EngineConfig = EngineConfig()) -> Callable[[DataFrame, int], None]:
     """Records, high-risk records and latency quantiles per provider, one set of rows per batch."""
     table = batch_table(path)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        counted = provider_metrics(df, config)
-        if {"event_timestamp", "pipeline_enrichment_ts"} <= set(df.columns):
-            counted = counted.join(latency_quantiles(df), "provider", "left")
-        table(counted.withColumn("written_at", F.current_timestamp()).coalesce(1), batch_id)
+        table(batch_metrics(df, config).coalesce(1), batch_id)
 
     return write
 
