@@ -322,16 +322,28 @@ def _s12(spark, sf_dir):
 
 # ---------------------------------------------------------------- parsing and checks
 
-_PARSED = "provider = '{p}' AND noise NOT IN (11, 13)"
+# What every provider makes of a message that can't be read; empty records are no messages.
+_UNREADABLE = {
+    "transaction_id": "sha256('not json')",
+    "timestamp": "received_at",
+    "event_time_ms": "(us + 1000000) // 1000",
+    "amount": "0.0",
+}
 
 
-def _parse_query(name: str, provider: str, columns: dict[str, str]):
-    listed = ", ".join(f"{sql} AS {c}" for c, sql in columns.items())
-    sql = f"SELECT event_id, {listed} FROM p WHERE {_PARSED.format(p=provider)}"
+def _parse_query(name: str, provider: str, columns: dict[str, str], error: str, unreadable: dict[str, str]):
+    broken = _UNREADABLE | unreadable | {"parse_error": f"'{error}'"}
+    # A number that is none makes a message unreadable too, but its other fields are there.
+    bad = "bad_amount OR mastercard_pan IS NULL" if provider == MASTERCARD else "bad_amount"
+    reason = "Parse failure" if provider == VISA else "Parse failure - unknown format"
+    columns = columns | {"parse_error": f"CASE WHEN {bad} THEN '{reason}' END"}
+    listed = ", ".join(
+        f"CASE WHEN noise = 11 THEN {broken.get(c, 'NULL')} ELSE {sql} END AS {c}" for c, sql in columns.items()
+    )
 
-    @query(name, o.over_payments(sql))
+    @query(name, o.over_payments(f"SELECT event_id, {listed} FROM p WHERE provider = '{provider}' AND noise <> 13"))
     def _run(spark, sf_dir):
-        return parsed(spark, sf_dir, provider).where("raw <> 'not json'").select("event_id", *columns)
+        return parsed(spark, sf_dir, provider).select("event_id", *columns)
 
 
 _CARD_COLUMNS = {
@@ -351,11 +363,13 @@ _CARD_COLUMNS = {
     "acquirer_id": "'77001'",
     "is_fraud": "is_fraud",
 }
-_parse_query("P1_parse_visa", VISA, _CARD_COLUMNS | {"pan": "visa_pan"})
+_parse_query("P1_parse_visa", VISA, _CARD_COLUMNS | {"pan": "visa_pan"}, "Parse failure", {"currency_code": "'404'"})
 _parse_query(
     "P2_parse_mastercard",
     MASTERCARD,
     _CARD_COLUMNS | {"pan": "NULLIF(mastercard_pan, '')", "forwarder_id": "'88001'"},
+    "Parse failure - unknown format",
+    {"currency_code": "'404'"},
 )
 _parse_query(
     "P3_parse_mpesa",
@@ -373,6 +387,8 @@ _parse_query(
         "result_code": "CASE WHEN is_push THEN '0' END",
         "event_time_ms": "us // 1000",
     },
+    "JSON parse error",
+    {},
 )
 _parse_query(
     "P4_mpesa_timestamp",
@@ -381,6 +397,8 @@ _parse_query(
         "timestamp": "CASE WHEN is_push THEN sent_at ELSE strftime(strptime(compact_time, '%Y%m%d%H%M%S'), "
         "'%Y-%m-%dT%H:%M:%S') END"
     },
+    "JSON parse error",
+    {},
 )
 _parse_query(
     "P5_parse_flutterwave",
@@ -401,6 +419,9 @@ _parse_query(
         "auth_model": "auth_model",
         "timestamp": "sent_at",
     },
+    "JSON parse error",
+    dict.fromkeys(["event", "bin", "last4", "customer_id", "customer_email", "customer_phone", "status"], "''")
+    | {"currency": "'USD'", "payment_type": "'card'"},
 )
 _parse_query(
     "P6_parse_pesapal",
@@ -419,6 +440,8 @@ _parse_query(
         "description": "event_type",
         "timestamp": "sent_at",
     },
+    "Parse failure - unknown format",
+    {"currency": "'KES'", "payment_status": "'PENDING'", "payment_method": "'UNKNOWN'"},
 )
 
 
