@@ -27,11 +27,12 @@ from fraudspark.operators import (
 from fraudspark.plans import jobs
 from fraudspark.plans.session import tune
 from fraudspark.plans.storage import fresh_path
-from fraudspark.sources import exports, refdata, wire
+from fraudspark.sources import contract, exports, refdata, wire
 from fraudspark.streaming import sinks
 from fraudspark.streaming import state as stream_state
 from fraudspark.streaming.publication import Publication, publishing
 from fraudspark.streaming.ring import ring_velocity
+from fraudspark.streaming.totals import RANK_ERROR, SKETCH_K, Totals, quantiles
 from fraudspark.streaming.velocity import stream_velocity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -320,6 +321,63 @@ def _s12(spark, sf_dir):
     return exports.read_json(spark, path, df.schema)
 
 
+_BROKEN = (
+    {
+        f: ("MISSING_FIELD", "TRUE")
+        for f in "processing_timestamp amount_usd transaction_type status velocity_features aggregate_features risk_signals "
+        "rule_triggers enrichment_latency_ms partition_key".split()
+    }
+    | {f: ("NULL_VALUE", f"{f} IS NULL") for f in "transaction_id provider amount currency is_fraud".split()}
+    | {"event_timestamp": ("NULL_VALUE", "event_us IS NULL"), "customer_token": ("NULL_VALUE", "customer_id IS NULL")}
+)
+_CHANNEL = "channel NOT IN ('POS', 'ATM', 'ECOMMERCE', 'MOBILE', 'USSD', 'QR')"
+
+
+@query(
+    "S2_contract",
+    o.over_transactions(
+        "SELECT * FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{f}' AS field, '{reason}' AS reason, COUNT(*) FILTER ({when}) AS rows FROM t"
+            for f, reason, when in (
+                *((f, *v) for f, v in _BROKEN.items()),
+                ("payment_channel", "NULL_VALUE", "channel IS NULL"),
+                ("payment_channel", "UNKNOWN_SYMBOL", _CHANNEL),
+            )
+        )
+        + ") WHERE rows > 0"
+    ),
+)
+def _s2(spark, sf_dir):
+    folder = fresh_path(spark, "schemas")
+    text = spark.createDataFrame([(contract.canonical_text(),)], "value string")
+    text.coalesce(1).write.text(f"{folder}/visa_tokenised.avsc")
+    read = contract.compiled(refdata.read_schema_text(spark, folder, VISA))
+    found = {"payment_channel": "channel", "customer_token": "customer_id", "fraud_score": "risk_score"}
+    return contract.violations(txns(spark, sf_dir), read.with_aliases(found))
+
+
+@query(
+    "S3_conform_to_contract",
+    o.over_transactions(
+        "SELECT transaction_id, provider, event_us, amount, currency, channel AS payment_channel, FALSE AS is_prepaid, "
+        "COALESCE(is_fraud, FALSE) AS is_fraud, risk_score AS fraud_score, CAST(NULL AS BOOLEAN) AS risk_signal, "
+        "CAST(NULL AS INTEGER) AS enrichment_latency_ms, "
+        f"channel IS NULL OR {_CHANNEL} AS bad_channel FROM t WHERE is_fraud IS NOT NULL"
+    ),
+)
+def _s3_conform(spark, sf_dir):
+    found = {"payment_channel": "channel", "customer_token": "customer_id", "fraud_score": "risk_score"}
+    read = contract.compiled(contract.canonical_text()).with_aliases(found)
+    marked = contract.checked(txns(spark, sf_dir), read).where("is_fraud IS NOT NULL")
+    rows = contract.conform(marked, contract.Contract(read.name, (*read.fields, contract.Field("violations", marked.schema["violations"].dataType))))
+    return rows.select(
+        "transaction_id", "provider", F.unix_micros("event_timestamp").alias("event_us"), "amount", "currency",
+        "payment_channel", "is_prepaid", "is_fraud", "fraud_score", F.col("risk_signals")["x"].alias("risk_signal"),
+        "enrichment_latency_ms", F.exists("violations", lambda v: v.startswith("payment_channel")).alias("bad_channel"),
+    )
+
+
 # ---------------------------------------------------------------- parsing and checks
 
 # What every provider makes of a message that can't be read; empty records are no messages.
@@ -767,6 +825,33 @@ _join_query("J3_join_fx", joins.join_fx, _FX)
 _join_query("J4_join_bin", joins.join_bin, _BIN)
 _join_query("J5_join_reference", joins.join_reference, _MCC + _CURRENCY + _FX + _BIN)
 
+# Rates quoted over time: every fiftieth event quotes its currency, to the dollar.
+_QUOTES_SQL = (
+    "SELECT currency AS currency_alpha, event_us AS as_of, MAX(0.5 + (event_id % 997) / 1000.0) AS fx_rate_to_usd FROM t "
+    "WHERE event_id % 50 = 0 AND currency IS NOT NULL AND event_us IS NOT NULL GROUP BY ALL"
+)
+
+
+@query(
+    "J3_fx_as_of",
+    o.over_joined(
+        f"SELECT j.transaction_id, ROUND(COALESCE(q.fx_rate_to_usd, j.fx_rate_to_usd), 8) AS fx_rate_to_usd, "
+        "ROUND(j.amount * COALESCE(q.fx_rate_to_usd, j.fx_rate_to_usd), 8) AS amount_usd FROM j "
+        f"ASOF LEFT JOIN ({_QUOTES_SQL}) q ON j.currency = q.currency_alpha AND j.event_us >= q.as_of"
+    ),
+)
+def _j3_as_of(spark, sf_dir):
+    rows = txns(spark, sf_dir)
+    quoted = rows.where("event_id % 50 = 0").select(
+        F.col("currency").alias("currency_alpha"), F.col("event_timestamp").alias("as_of"),
+        (0.5 + F.col("event_id") % 997 / 1000.0).alias("fx_rate_to_usd"),
+    )
+    joined = joins.join_reference(rows, refdata.ReferenceTables(spark), quoted)
+    return joined.select(
+        "transaction_id", F.round("fx_rate_to_usd", 8).alias("fx_rate_to_usd"), F.round("amount_usd", 8).alias("amount_usd")
+    )
+
+
 _VELOCITY_SQL = {
     "card_txn_count_1min": "card_txn_count_1min",
     "card_txn_sum_1min": "ROUND(card_txn_sum_1min, 2)",
@@ -1479,6 +1564,49 @@ def _s7_committed(spark, sf_dir):
     )
 
 
+def _life_totals(spark: SparkSession, sf_dir: str) -> Totals:
+    """Five batches of events, folded twice, with replays of folded and of open batches in between."""
+    kept = Totals(spark, fresh_path(spark, "totals"), ["records", "amount"], ("amounts",))
+
+    def write(k: int) -> None:
+        part = txns(spark, sf_dir).where(F.col("event_id") % 5 == k)
+        sketch = F.kll_sketch_agg_double("amount", SKETCH_K).alias("amounts")
+        kept.write(part.groupBy("provider").agg(F.count(F.lit(1)).alias("records"), F.sum("amount").alias("amount"), sketch), k)
+
+    for k in (0, 1, 2, 2):
+        write(k)
+    kept.compact()
+    for k in (0, 2, 3, 4):
+        write(k)
+    kept.compact()
+    write(4)
+    return kept
+
+
+@query(
+    "A6_compacted_totals",
+    o.over_transactions("SELECT provider, COUNT(*) AS records, ROUND(SUM(amount), 2) AS amount FROM t GROUP BY provider"),
+)
+def _a6_compacted(spark, sf_dir):
+    return _life_totals(spark, sf_dir).read().select("provider", "records", F.round("amount", 2).alias("amount"))
+
+
+@query(
+    "A4_merged_quantiles",
+    o.over_transactions(
+        "SELECT provider, CAST(r AS DOUBLE) AS rank, COUNT(amount) AS seen, TRUE AS within FROM t, (VALUES (0.5), (0.95), (0.99)) v(r) "
+        "GROUP BY provider, r"
+    ),
+)
+def _a4_merged(spark, sf_dir):
+    # A quantile is right if the exact ranks of its value reach the one asked for, up to the sketch's error.
+    found = quantiles(_life_totals(spark, sf_dir).read(), "amounts").select("provider", "rank", "seen", "value")
+    held = txns(spark, sf_dir).where("amount IS NOT NULL").join(F.broadcast(found), "provider")
+    below, upto = F.count_if(F.col("amount") < F.col("value")), F.count_if(F.col("amount") <= F.col("value"))
+    near = (below / F.max("seen") <= F.col("rank") + RANK_ERROR) & (upto / F.max("seen") >= F.col("rank") - RANK_ERROR)
+    return held.groupBy("provider", "rank").agg(F.max("seen").alias("seen"), near.alias("within"))
+
+
 # ---------------------------------------------------------------- whole jobs
 
 

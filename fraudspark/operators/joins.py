@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fraudspark.operators.asof import join_fx_as_of
 from fraudspark.sources.refdata import ReferenceTables
 
 
@@ -38,10 +39,7 @@ def join_bin(df: DataFrame, refs: ReferenceTables) -> DataFrame:
     return _lookup(df, refs.bins, "bin", "bins" in refs.fixed)
 
 
-def join_reference(df: DataFrame, refs: ReferenceTables) -> DataFrame:
-    return (
-        df.transform(join_mcc, refs)
-        .transform(join_currency, refs)
-        .transform(join_fx, refs)
-        .transform(join_bin, refs)
-    )
+def join_reference(df: DataFrame, refs: ReferenceTables, fx_history: DataFrame | None = None) -> DataFrame:
+    """All reference joins; with ``fx_history`` the exchange rates are those of the payment's time."""
+    priced = df.transform(join_fx, refs) if fx_history is None else join_fx_as_of(df, refs, fx_history)
+    return priced.transform(join_mcc, refs).transform(join_currency, refs).transform(join_bin, refs)

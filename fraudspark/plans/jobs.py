@@ -49,10 +49,10 @@ def canonical(tokenised: DataFrame) -> DataFrame:
 
 
 def enrich_statelessly(
-    df: DataFrame, refs: ReferenceTables, config: EngineConfig = EngineConfig()
+    df: DataFrame, refs: ReferenceTables, config: EngineConfig = EngineConfig(), fx_history: DataFrame | None = None
 ) -> DataFrame:
     """Reference joins: everything before velocity."""
-    return join_reference(df, refs)
+    return join_reference(df, refs, fx_history)
 
 
 def score(df: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
@@ -69,8 +69,12 @@ def enrich(
     refs: ReferenceTables,
     config: EngineConfig = EngineConfig(),
     device_history: bool = True,
+    fx_history: DataFrame | None = None,
 ) -> DataFrame:
-    """Enriched and scored transactions of a table of canonical transactions."""
+    """Enriched and scored transactions of a table of canonical transactions.
+
+    With ``fx_history`` (``currency_alpha, fx_rate_to_usd, as_of``) amounts have the rate of their own time.
+    """
     usable = transactions
     if "error_reason" in transactions.columns:
         usable = transactions.where(F.col("error_reason").isNull()).drop("error_reason")
@@ -78,7 +82,7 @@ def enrich(
     moved = usable.transform(velocity.velocity, config)
     if device_history:
         moved = state.device_history(moved, config, source=usable)
-    return moved.transform(enrich_statelessly, refs, config).transform(score, config)
+    return moved.transform(enrich_statelessly, refs, config, fx_history).transform(score, config)
 
 
 def start_tokeniser(

@@ -30,7 +30,7 @@ from pyspark.sql.types import StructType
 _QUERY_ID = "sql.streaming.queryId"
 
 
-class _Files:
+class SmallFiles:
     """Small files of a folder, by way of Spark's own file systems."""
 
     def __init__(self, spark: SparkSession, folder: str):
@@ -89,7 +89,7 @@ class Publication:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
-        self._files = _Files(spark, folder)
+        self._files = SmallFiles(spark, folder)
 
     # ------------------------------------------------------------ writing
 
