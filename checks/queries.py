@@ -321,6 +321,18 @@ def _s12(spark, sf_dir):
     return exports.read_json(spark, path, df.schema)
 
 
+@query(
+    "S12_wrapped_export",
+    o.over_transactions("SELECT transaction_id, provider, amount, currency, event_us, is_fraud FROM t"),
+)
+def _s12_wrapped(spark, sf_dir):
+    # One document in one file, read back by a task for every 50,000 bytes of it.
+    path = fresh_path(spark, "wrapped")
+    df = txns(spark, sf_dir).select("transaction_id", "provider", "amount", "currency", "event_us", "is_fraud")
+    exports.write_wrapped_json(df, path, {"made_by": 'checks {[ \\"', "lists": [{"transactions": [{"transaction_id": "no"}]}]})
+    return exports.read_wrapped_json(spark, path, df.schema, range_bytes=50_000)
+
+
 _BROKEN = (
     {
         f: ("MISSING_FIELD", "TRUE")

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fraudspark.sources import ranges
+
 
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     """One JSON object per line, written in parallel."""
@@ -16,11 +22,33 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
     return spark.read.schema(schema).json(path)
 
 
-def read_wrapped_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def write_wrapped_json(df: DataFrame, path: str, metadata: dict, field: str = "transactions") -> None:
+    """One document ``{"metadata": .., field: [..]}``. It is one file, so one task writes it."""
+    head = json.dumps({"metadata": metadata})[:-1] + f', "{field}": ['
+    rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = True
+        for batch in batches:
+            values = [v if k == 0 and first else "," + v for k, v in enumerate(batch["value"].to_pylist())]
+            if values:
+                yield pa.RecordBatch.from_pydict({"value": [head, *values] if first else values})
+                first = False
+        yield pa.RecordBatch.from_pydict({"value": [head, "]}"] if first else ["]}"]})
+
+    rows.coalesce(1).mapInArrow(lines, "value string").write.text(path)
+
+
+def read_wrapped_json(
+    spark: SparkSession, path: str, schema: T.StructType, range_bytes: int | None = None
+) -> DataFrame:
     """Read documents of the form ``{"metadata": .., "transactions": [..]}``.
 
-    Such a document is one JSON value and so one task per file; use many files for large data.
+    A document is one JSON value and so one task per file. With ``range_bytes`` large documents are
+    cut into ranges of that size and read by as many tasks (``sources/ranges.py``).
     """
+    if range_bytes:
+        return ranges.read_wrapped(spark, path, schema, range_bytes=range_bytes)
     whole = T.StructType([T.StructField("transactions", T.ArrayType(schema))])
     docs = spark.read.schema(whole).json(path, multiLine=True)
     return docs.select(F.explode("transactions").alias("t")).select("t.*")

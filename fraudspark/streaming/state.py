@@ -11,8 +11,7 @@ import bisect
 import time
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,18 +21,37 @@ from fraudspark.functions.text import blank_to_null
 
 # How far ahead of the clock an event's time may be before it stops moving the trailing span.
 _AHEAD_US = 3600 * MICROS
-_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
-_JSON = {"timestampFormat": _TIME}
+_KEY, _US, _ID, _FLAG = "_key", "_us", "_id", "_flag"
+_SPARE_KEYS = 1024
 
 
-def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    # Columns arrive in order but without their names; the last three are time, id and row.
-    batch = pd.concat([pdf.iloc[:, -3:] for pdf in rows], ignore_index=True)
-    batch.columns = ["_us", "_id", "_row"]
-    return batch.sort_values(["_us", "_id"], kind="stable")
+def _out(row: Row, flag: bool | int | None) -> Row:
+    values = row.asDict()
+    for name in (_KEY, _US, _ID):
+        values.pop(name)
+    return Row(**values, **{_FLAG: flag})
 
 
-class FirstSight(StatefulProcessor):
+class _Keyed(StatefulProcessor):
+    """Rows of a key in order of time and id; rows that have no key pass through spare keys without state."""
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[0][:1] != "=":
+            for row in rows:
+                yield _out(row, None)
+            return
+        batch = sorted(rows, key=lambda r: (r[_US], r[_ID] or ""))
+        for row, flag in zip(batch, self.flags([r[_US] for r in batch]), strict=True):
+            yield _out(row, flag)
+
+    def flags(self, times: list[int]) -> list:
+        raise NotImplementedError
+
+    def close(self) -> None:
+        pass
+
+
+class FirstSight(_Keyed):
     """Flags rows whose key was seen before and is not expired. The state is the time it was set."""
 
     def __init__(self, ttl_us: int | None, forget: bool):
@@ -43,26 +61,22 @@ class FirstSight(StatefulProcessor):
         ttl_ms = self.ttl_us // 1000 if self.forget else None
         self.set_at = handle.getValueState("set_at", "us bigint", ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows)
+    def flags(self, times: list[int]) -> list[bool]:
         known = self.set_at.get()
         before = None if known is None else known[0]
         at, flags = before, []
-        for us in batch["_us"]:
+        for us in times:
             # A row that comes in late, from before the key was set, sees the later state.
             seen = at is not None and (self.ttl_us is None or us < at + self.ttl_us)
             flags.append(seen)
             if not seen:
-                at = int(us)
+                at = us
         if at != before:
             self.set_at.update((at,))
-        yield pd.DataFrame({"_row": batch["_row"].to_numpy(), "_flag": flags})
-
-    def close(self) -> None:
-        pass
+        return flags
 
 
-class Trailing(StatefulProcessor):
+class Trailing(_Keyed):
     """Rows of the key in [t - span, t], as of each row."""
 
     def __init__(self, span_us: int, forget: bool = False):
@@ -73,51 +87,42 @@ class Trailing(StatefulProcessor):
         ttl_ms = 2 * self.span_us // 1000 + _AHEAD_US // 1000 if self.forget else None
         self.recent = handle.getValueState("recent", "times array<bigint>", ttl_ms)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = _in_order(rows)
+    def flags(self, fresh: list[int]) -> list[int]:
         known = self.recent.get()
-        times = [] if known is None else list(known[0])
-        fresh = [int(us) for us in batch["_us"]]
-        times = sorted(times + fresh)
-        counts = [
-            bisect.bisect_right(times, us) - bisect.bisect_left(times, us - self.span_us) for us in fresh
-        ]
+        times = sorted([*([] if known is None else known[0]), *fresh])
+        counts = [bisect.bisect_right(times, us) - bisect.bisect_left(times, us - self.span_us) for us in fresh]
         # A time from the future is counted but must not push the others out.
         limit = time.time_ns() // 1000 + _AHEAD_US
         past = bisect.bisect_right(times, limit)
         newest = times[past - 1] if past else times[0]
         self.recent.update((times[bisect.bisect_left(times, newest - self.span_us) :],))
-        yield pd.DataFrame({"_row": batch["_row"].to_numpy(), "_flag": counts})
-
-    def close(self) -> None:
-        pass
+        return counts
 
 
 def _through_state(
-    df: DataFrame, keys: list[str], processor: StatefulProcessor, name: str, flag: T.DataType,
-    without_key, ts: str, row_id: str, time_mode: str = "None",
+    df: DataFrame, keys: list[str], processor: _Keyed, name: str, flag: T.DataType,
+    without_key: Column, ts: str, row_id: str, time_mode: str = "None",
 ) -> DataFrame:
+    """Rows keep their columns and types on the way; times travel as numbers, so no zone touches them."""
     us = F.unix_micros(F.col(ts))
     usable = us.isNotNull()
     for k in keys:
         usable = usable & blank_to_null(F.col(k)).isNotNull()
-    # Rows travel as text, so that no column changes its type on the way through pandas.
-    packed = df.where(usable).select(
-        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)],
-        us.alias("_us"),
-        F.col(row_id).cast("string").alias("_id"),
-        F.to_json(F.struct(*df.columns), _JSON).alias("_row"),
-    )
-    made = packed.groupBy(*[f"_k{i}" for i in range(len(keys))]).transformWithStateInPandas(
+    spare = F.concat(F.lit("-"), F.pmod(F.xxhash64(row_id), F.lit(_SPARE_KEYS)).cast("string"))
+    own = F.concat(F.lit("="), F.to_json(F.array(*[F.col(k).cast("string") for k in keys])))
+    times = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
+    packed = df.withColumns(
+        {_KEY: F.when(usable, own).otherwise(spare), _US: us, _ID: F.col(row_id).cast("string")}
+    ).withColumns({c: F.unix_micros(c) for c in times})
+    plain = packed.drop(_KEY, _US, _ID).schema
+    made = packed.groupBy(_KEY).transformWithState(
         statefulProcessor=processor,
-        outputStructType=T.StructType([T.StructField("_row", T.StringType()), T.StructField("_flag", flag)]),
+        outputStructType=T.StructType([*plain.fields, T.StructField(_FLAG, flag)]),
         outputMode="Append",
         timeMode=time_mode,
     )
-    back = made.select(F.from_json("_row", df.schema, _JSON).alias("_r"), "_flag").select(
-        "_r.*", F.col("_flag").alias(name)
-    )
-    return back.unionByName(df.where(~usable).withColumn(name, without_key.cast(flag)))
+    back = made.withColumns({c: F.timestamp_micros(c) for c in times})
+    return back.select(*df.columns, F.coalesce(_FLAG, without_key.cast(flag)).alias(name))
 
 
 def stream_seen_before(
