@@ -35,17 +35,17 @@ def test_replays_and_folding_change_no_total(spark, tmp_path):
     # Stopped between snapshot and removal: the folded batch is still there and is ignored.
     batch(spark, range(30)).write.parquet(str(tmp_path / "batches" / "batch=2"))
     assert records(totals) == {"VISA": 101}
-    for n in range(4, 30):
+    for n in range(4, 9):
         totals.write(batch(spark, range(1), "MPESA"), n)
         totals.compact()
         assert totals.files() <= 3
-    assert records(totals) == {"VISA": 101, "MPESA": 26}
+    assert records(totals) == {"VISA": 101, "MPESA": 5}
 
 
 def test_merged_quantiles_keep_their_rank_error(spark, tmp_path):
     rng = random.Random(4)
     totals, everything = Totals(spark, str(tmp_path), ["records"], ("latency",)), []
-    for n in range(6):
+    for n in range(4):
         values = [rng.gauss(n, 3) for _ in range(4000)]
         everything += values
         totals.write(batch(spark, values), n)
@@ -53,7 +53,7 @@ def test_merged_quantiles_keep_their_rank_error(spark, tmp_path):
     everything.sort()
     for r in quantiles(totals.read(), "latency").collect():
         at = sum(v <= r.value for v in everything) / len(everything)
-        assert abs(at - r.rank) <= RANK_ERROR + 1 / len(everything) and r.seen == 24_000 and r.records == 24_000
+        assert abs(at - r.rank) <= RANK_ERROR + 1 / len(everything) and r.seen == 16_000 and r.records == 16_000
     nothing = spark.createDataFrame([("VISA", None)], "provider string, v double").groupBy("provider").agg(
         F.kll_sketch_agg_double("v", SKETCH_K).alias("latency")
     )
@@ -72,7 +72,7 @@ def plain(rows, quotes):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("bucket,salts", [(10, 1), (1000, 3), (10**9, 8)])
+@pytest.mark.parametrize("bucket,salts", [(10, 3), (10**9, 8)])
 def test_as_of_against_a_loop(spark, bucket, salts):
     rng = random.Random(7)
     rows = [(f"t{i}", rng.choice(["KES", "KES", "USD", "EUR", None]), rng.randrange(5000), 1.0) for i in range(400)]
