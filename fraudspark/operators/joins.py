@@ -41,5 +41,13 @@ def join_bin(df: DataFrame, refs: ReferenceTables) -> DataFrame:
 
 def join_reference(df: DataFrame, refs: ReferenceTables, fx_history: DataFrame | None = None) -> DataFrame:
     """All reference joins; with ``fx_history`` the exchange rates are those of the payment's time."""
-    priced = df.transform(join_fx, refs) if fx_history is None else join_fx_as_of(df, refs, fx_history)
-    return priced.transform(join_mcc, refs).transform(join_currency, refs).transform(join_bin, refs)
+    if fx_history is not None:
+        # First, so that rows are shuffled before the other tables widen them.
+        priced = join_fx_as_of(df, refs, fx_history)
+        return priced.transform(join_mcc, refs).transform(join_currency, refs).transform(join_bin, refs)
+    return (
+        df.transform(join_mcc, refs)
+        .transform(join_currency, refs)
+        .transform(join_fx, refs)
+        .transform(join_bin, refs)
+    )
