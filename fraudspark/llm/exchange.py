@@ -95,6 +95,17 @@ def packed(block: int, keys: np.ndarray, parts_of: np.ndarray, numbers: np.ndarr
     )
 
 
+def unpacked(replies: pa.Table, parts_of: np.ndarray, kind: type) -> np.ndarray:
+    """The numbers of all replies to a block, in the order of its keys; keys without a reply get 0."""
+    order = np.argsort(parts_of, kind="stable")
+    owner = parts_of[order]
+    out = np.zeros(len(parts_of), kind)
+    for part, numbers in zip(replies["part"].to_pylist(), replies["numbers"].to_pylist(), strict=True):
+        a, b = np.searchsorted(owner, [part, part + 1])
+        out[order[a:b]] = np.frombuffer(numbers, kind)
+    return out
+
+
 def answered(
     keyed: DataFrame, answer: Callable[[np.ndarray, np.ndarray, pa.Table], pa.Table], kind: type = np.uint64
 ) -> DataFrame:
@@ -105,6 +116,7 @@ def answered(
     """
 
     def combine(part: pa.Table) -> pa.Table:
+        shared.give_back()
         part = part.combine_chunks()
         rows = [np.frombuffer(k.as_py(), kind) for k in part["keys"]]
         _, group = np.unique(np.concatenate(rows), return_inverse=True)

@@ -174,6 +174,7 @@ def predicted(spark: SparkSession, model: Model, text: Column) -> Column:
     def named(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
             yield label(sent.value, texts)
+            shared.give_back()
 
     return named(text.cast("binary"))
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fraudspark.llm import exchange, words
+from fraudspark.llm import exchange, shared, words
 
 RUN = 7
 #: Words are spelled to the automaton in this base.
@@ -80,6 +80,7 @@ def _least_and_most(keys: list[np.ndarray], ids: np.ndarray) -> tuple[np.ndarray
 
 def _anchors(docs: DataFrame, parts: int, window: int) -> DataFrame:
     def send(table: pa.Table) -> pa.Table:
+        shared.give_back()
         block = _Block(table, window)
         keep = np.ones(len(block.at), dtype=bool)
         keep[1:] = (block.anchor[1:] != block.anchor[:-1]) | (block.doc[1:] != block.doc[:-1])
@@ -115,6 +116,7 @@ def _received(replies: pa.Table) -> np.ndarray:
 
 def _phrases(docs: DataFrame, anchors: DataFrame, parts: int, window: int) -> DataFrame:
     def send(table: pa.Table, replies: pa.Table) -> pa.Table:
+        shared.give_back()
         if not table.num_rows:
             return exchange.packed(0, np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros((0, 2), np.int64))
         block = _Block(table, window)
@@ -196,6 +198,7 @@ def _automaton(block: _Block, text: str, digits: int, least: np.ndarray, window:
 
 def _mark(docs: DataFrame, phrases: DataFrame, parts: int, window: int) -> DataFrame:
     def mark(table: pa.Table, replies: pa.Table) -> pa.Table:
+        shared.give_back()
         out: dict[str, list] = {"doc_id": [], "copies": [], "n_words": [], "n_removed": [], "kept": []}
         if table.num_rows:
             block = _Block(table, window)

@@ -30,25 +30,34 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
+from fraudspark.llm import shared
+
 SPACE = "▁"
-CACHED_PIECES = 800_000
-CACHED_PAIRS = 1_000_000
+#: Bytes of results that each cache holds at most, and what an entry costs besides its texts.
+CACHE_BYTES, ENTRY_BYTES = 16_000_000, 180
 _RUNS = re.compile(" *[^ ]+| +")
 
 
 class _Bounded(dict):
     """A dictionary that fills itself by a function and starts anew when it is full."""
 
-    def __init__(self, fill, most: int):
+    def __init__(self, fill):
         super().__init__()
-        self._fill, self._most = fill, most
+        self._fill, self._left = fill, CACHE_BYTES
 
     def __missing__(self, key):
-        if len(self) >= self._most:
+        value = self._fill(key)
+        size = ENTRY_BYTES + (2 * len(key) + len(value) if isinstance(key, str) else 0)
+        if size > self._left:
             self.clear()
-        value = self[key] = self._fill(key)
+        self._left -= size
+        self[key] = value
         return value
 
+    def clear(self) -> None:
+        super().clear()
+        self._left = CACHE_BYTES
+
 
 class Bpe:
     """Encoder and decoder for one model file (BPE, byte fallback, no normalisation)."""
@@ -77,11 +86,16 @@ class Bpe:
             raise ValueError("the model needs byte tokens, a token per character, and no line end")
         self.packed = [struct.pack("<I", i) for i in self.ids]
         self.byte_ids = {v: struct.pack("<I", i) for v, i in self.bytes.items()}
-        self._pairs = _Bounded(self._fits, CACHED_PAIRS)
+        self._pairs = _Bounded(self._fits)
         #: Ids of a word after one space, of a word without it, and of other runs, as bytes.
-        self.spaced = _Bounded(lambda w: self._pack(self._encode(SPACE + w)), CACHED_PIECES)
-        self.bare = _Bounded(lambda w: self._pack(self._encode(w)), CACHED_PIECES)
-        self.runs = _Bounded(self._encode_run, CACHED_PIECES)
+        self.spaced = _Bounded(lambda w: self._pack(self._encode(SPACE + w)))
+        self.bare = _Bounded(lambda w: self._pack(self._encode(w)))
+        self.runs = _Bounded(self._encode_run)
+
+    def forget(self) -> None:
+        """Empty the caches."""
+        for cache in (self._pairs, self.spaced, self.bare, self.runs):
+            cache.clear()
 
     def _number(self, normal: dict[str, int], score: dict[int, float]) -> None:
         """Number the tokens in merge order, single characters first, and split each one."""
@@ -247,6 +261,9 @@ def encode(docs: DataFrame, model_path: str) -> DataFrame:
                         "ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids)),
                     }
                 )
+        # The worker goes on to other stages.
+        bpe.forget()
+        shared.give_back()
 
     return docs.select("doc_id", "text").mapInArrow(
         work, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string, ids array<int>"

@@ -15,7 +15,9 @@ import pyarrow as pa
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of text that are hashed at once; a longer text is a slice of its own.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
+#: Bytes of text whose words are hashed at once, also within one text.
+PIECE_BYTES = 1 << 18
 
 
 def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
@@ -56,25 +58,58 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def _packed_words(data: np.ndarray, offsets: np.ndarray, letters: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each text's first word, each word's place among the packed bytes, and those bytes, piece by piece."""
+    kind = np.int32 if len(data) < 1 << 31 else np.int64
+    chars, first = np.empty(len(data), np.uint8), np.zeros(len(offsets), np.int64)
+    packed, filled, n_words, open_word = [np.zeros(0, kind)], 0, 0, False
+    for a in range(0, len(data), PIECE_BYTES):
+        piece = data[a : a + PIECE_BYTES]
+        inside = LETTER[piece] if letters else ~_SPACE[piece]
+        begins = inside.copy()
+        begins[1:] &= ~inside[:-1]
+        begins[0] &= not open_word
+        low, high = np.searchsorted(offsets, [a, a + len(piece)])
+        edges = offsets[low:high] - a
+        begins[edges] = inside[edges]
+        at = np.flatnonzero(begins)
+        first[low:high] = n_words + np.searchsorted(at, edges)
+        packed.append((np.cumsum(inside, dtype=np.int32)[at] + (filled - 1)).astype(kind))
+        own = piece[inside]
+        chars[filled : filled + len(own)] = own
+        filled, n_words, open_word = filled + len(own), n_words + len(at), bool(inside[-1])
+    first[np.searchsorted(offsets, len(data)) :] = n_words
+    return first, np.concatenate(packed), chars[:filled]
+
+
 def hash_words(data: np.ndarray, offsets: np.ndarray, lower: bool, letters: bool = False) -> Words:
-    """Hash every run of bytes other than ASCII white space, or of letters; texts end at their offsets."""
-    n_texts = len(offsets) - 1
-    inside = LETTER[data] if letters else ~_SPACE[data]
-    begins = inside.copy()
-    begins[1:] &= ~inside[:-1]
-    edges = offsets[:-1][offsets[:-1] < offsets[1:]]
-    begins[edges] = inside[edges]
-    starts = np.flatnonzero(begins)
-    first = np.searchsorted(starts, offsets).astype(np.int64)
-    if not len(starts):
-        none = np.zeros(0, np.int64)
-        return Words(np.zeros(0, np.uint64), np.zeros(n_texts + 1, np.int64), data[:0], none)
-    chars = data[inside]
-    packed = np.cumsum(inside)[starts] - 1
-    lengths = np.diff(np.append(packed, len(chars)))
-    place = np.arange(len(chars)) - np.repeat(packed, lengths)
-    values = (_LOWER if lower else _PLAIN)[chars] * powers(_BASE, int(lengths.max()))[place]
-    return Words(mix(np.add.reduceat(values, packed), 1), first, chars, packed)
+    """Hash every run of bytes other than ASCII white space, or of letters; texts end at their offsets.
+
+    What is held besides the result is a few dozen bytes per byte of a piece, however long the texts
+    or their words are.
+    """
+    first, packed, chars = _packed_words(data, offsets, letters)
+    table = _LOWER if lower else _PLAIN
+    hashes, power, begin = np.zeros(len(packed), np.uint64), powers(_BASE, PIECE_BYTES), 0
+    while begin < len(packed):
+        at = int(packed[begin])
+        end = int(np.searchsorted(packed, at + PIECE_BYTES, side="right")) - 1
+        end = len(packed) if len(chars) - at <= PIECE_BYTES else max(end, begin + 1)
+        stop = int(packed[end]) if end < len(packed) else len(chars)
+        if stop - at > PIECE_BYTES:
+            total = 0
+            for a in range(at, stop, PIECE_BYTES):
+                part = table[chars[a : min(a + PIECE_BYTES, stop)]]
+                total += int((part * power[: len(part)]).sum()) * pow(int(_BASE), a - at, 1 << 64)
+            hashes[begin] = total % (1 << 64)
+        else:
+            near = packed[begin:end].astype(np.int64) - at
+            lengths = np.diff(np.append(near, stop - at))
+            place = np.arange(stop - at) - np.repeat(near, lengths)
+            hashes[begin:end] = np.add.reduceat(table[chars[at:stop]] * power[place], near)
+        hashes[begin:end] = mix(hashes[begin:end], 1)
+        begin = end
+    return Words(hashes, first, chars, packed)
 
 
 def ngrams(hashes: np.ndarray, n: int) -> np.ndarray:
