@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from fraudspark.llm import shared
 
 
-def _star(links: DataFrame, large: bool) -> DataFrame:
+#: With more links than this, nodes that many of them meet in are joined by broadcast.
+MANY = 1_000_000
+
+
+def _star(links: DataFrame, large: bool, many: bool) -> DataFrame:
     """Links (node, other), both ways for the large star, from the larger node for the small one."""
     if large:
         both = links.unionAll(links.select(F.col("other").alias("node"), F.col("node").alias("other")))
@@ -21,8 +25,11 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         both = links.select(
             F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other")
         )
-    least = both.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("least"))
-    joined = both.join(least, "node")
+    least = both.groupBy("node").agg(
+        F.least(F.min("other"), F.col("node")).alias("least"), F.count(F.lit(1)).alias("size")
+    )
+    # The root of a large component has a link from each of its members.
+    joined = shared.attach(both, shared.settled(least), "node", "size") if many else both.join(least, "node")
     if large:
         out = joined.where("other > node").select(F.col("other").alias("node"), F.col("least").alias("other"))
     else:
@@ -39,7 +46,8 @@ def components(links: DataFrame) -> DataFrame:
     links = shared.settled(links.where("node <> other").distinct())
     before = None
     while True:
-        links = shared.settled(_star(_star(links, large=True), large=False))
+        many = before is not None and before[0] > MANY
+        links = shared.settled(_star(_star(links, True, many), False, many))
         now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("node", "other") % 2**32)).first()
         if now == before:
             return links.select("node", F.col("other").alias("root"))

@@ -64,6 +64,7 @@ def _counted(docs: DataFrame, parts: int, n: int) -> DataFrame:
     """
 
     def send(table: pa.Table) -> pa.Table:
+        shared.give_back()
         distinct = {s.tobytes(): s for s in gram_sets(exchange.in_order(table), n)}
         keys, counts = np.unique(np.concatenate(list(distinct.values())), return_counts=True)
         return exchange.packed(
@@ -94,13 +95,11 @@ def _prefixed(docs: DataFrame, counted: DataFrame, parts: int, n: int, percent:
     """One row per document; the first row of a set in its block has its shared n-grams and prefixes."""
 
     def prefix(table: pa.Table, replies: pa.Table) -> pa.Table:
+        shared.give_back()
         table = exchange.in_order(table)
         sets = gram_sets(table, n)
         keys = np.unique(np.concatenate(sets)) if sets else np.zeros(0, np.uint64)
-        owner = exchange.part_of(keys, parts)
-        power = np.zeros(len(keys), np.uint8)
-        for part, numbers in zip(replies["part"].to_pylist(), replies["numbers"].to_pylist(), strict=True):
-            power[owner == part] = np.frombuffer(numbers, np.uint8)
+        power = exchange.unpacked(replies, exchange.part_of(keys, parts), np.uint8)
         seen: set[bytes] = set()
         digests: list[bytes | None] = []
         payload: list[list[bytes | None]] = [[] for _ in range(1 + ORDERS)]
@@ -188,10 +187,11 @@ def _stars(lists: DataFrame, percent: int) -> DataFrame:
         lists.groupBy("token")
         .agg(F.count(F.lit(1)).alias("members"), F.min(one).alias("p"))
         .where(F.col("members") >= LONG)
-        .select("token", F.col("p.node").alias("pivot"), F.col("p.size").alias("pivot_size"))
+        .select("token", "members", F.col("p.node").alias("pivot"), F.col("p.size").alias("pivot_size"))
     )
+    # A token that very many sets share has its pivot by broadcast.
     return (
-        lists.join(pivots, "token")
+        shared.attach(lists, shared.settled(pivots), "token", "members")
         .where(f"node <> pivot and 100 * least(size, pivot_size) >= {percent} * greatest(size, pivot_size)")
         .select(F.least("node", "pivot").alias("node"), F.greatest("node", "pivot").alias("other"))
         .distinct()
@@ -239,6 +239,7 @@ def _block_links(sets: DataFrame, clusters: DataFrame, percent: int) -> DataFram
     )
 
     def compare(group: pa.Table) -> pa.Table:
+        shared.give_back()
         group = group.sort_by("node").combine_chunks()
         cross = group["low"][0].as_py() != group["high"][0].as_py()
         links = _spanning(group, percent, np.asarray(group["own"]) if cross else None)
@@ -335,7 +336,6 @@ def jaccard_join(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
     )
     sets = shared.stored(
         rows.where("grams is not null")
-        .join(classes.where("class_id is not null").select("set_key"), "set_key", "left_semi")
         .dropDuplicates(["set_key"])
         .drop("doc_id", "copies"),
         "leaders",

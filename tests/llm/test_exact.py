@@ -68,21 +68,32 @@ def grams(text: str | None) -> frozenset:
     return frozenset(tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))) if words else frozenset()
 
 
-def linked_components(rows) -> dict:
-    """Smallest reachable id by comparing all pairs; rows of one id are one node."""
-    sets = [(i, grams(t)) for i, t in rows if i is not None]
-    up: dict[int, int] = {}
+def linked_components(rows) -> list:
+    """Per row the smallest id it is linked to, by comparing all sets; rows of one id are one node."""
+    up: dict = {}
 
     def top(x):
         while x in up:
             x = up[x]
         return x
 
-    for k, (i, a) in enumerate(sets):
-        for j, b in sets[:k]:
-            if a and b and 100 * len(a & b) >= 80 * len(a | b) and top(i) != top(j):
-                up[max(top(i), top(j))] = min(top(i), top(j))
-    return {i: top(i) for i, _ in sets}
+    def join(x, y):
+        if top(x) != top(y):
+            up[top(x)] = top(y)
+
+    sets = list({grams(t) for _, t in rows if grams(t)})
+    for k, a in enumerate(sets):
+        for b in sets[:k]:
+            if 100 * len(a & b) >= 80 * len(a | b):
+                join(a, b)
+    for i, t in rows:
+        if i is not None and grams(t):
+            join(i, grams(t))
+    least: dict = {}
+    for i, t in rows:
+        if i is not None and grams(t):
+            least[top(i)] = min(i, least.get(top(i), i))
+    return [least.get(top(grams(t))) if grams(t) else i for i, t in rows]
 
 
 @pytest.mark.parametrize("long, block", [(64, 256), (3, 5)])
@@ -90,16 +101,22 @@ def test_jaccard_join(spark, docs, small_blocks, monkeypatch, long, block):  # n
     monkeypatch.setattr(jaccard_join, "LONG", long)
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
     rows = texts()
-    component = linked_components(rows)
-    by_set = {}
-    for i, t in rows:
-        if i is not None and grams(t):
-            by_set[grams(t)] = min(component[i], by_set.get(grams(t), component[i]))
-    expected = [(i, len(grams(t)), component[i] if i is not None else by_set.get(grams(t))) for i, t in rows]
+    expected = [(i, len(grams(t)), c) for (i, t), c in zip(rows, linked_components(rows), strict=True)]
     found = jaccard_join.jaccard_join(docs)
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == sorted(expected, key=repr)
 
 
+def test_documents_without_id_link_others(spark):
+    base = [f"w{k}" for k in range(60)]
+    one, two = base, [*base[:55], "x", *base[56:]]
+    three = ["y"] * 3 + two[3:]
+    assert 100 * len(grams(" ".join(one)) & grams(" ".join(three))) < 80 * len(grams(" ".join(one)) | grams(" ".join(three)))
+    rows = [(1, " ".join(one)), (None, " ".join(two)), (2, " ".join(three)), (None, "a b c d e f"), (None, "a b c d e f")]
+    assert linked_components(rows) == [1, 1, 1, None, None]
+    found = jaccard_join.jaccard_join(frame(spark, rows))
+    assert rows_of(found, "doc_id", "component_id") == sorted([(1, 1), (None, 1), (2, 1), (None, None), (None, None)], key=repr)
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.jaccard_join(empty(spark)).count() == 0
     only = jaccard_join.jaccard_join(frame(spark, [(4, None), (2, ""), (3, " ")]))
@@ -202,14 +219,30 @@ def test_exact_dedup(spark, docs):  # noqa: F811
 
 
 def test_digest_index_keeps_its_batches(spark):
-    index = digest_index.DigestIndex(spark, "index_of_a_test", buckets=4)
-    index.append(digest_index.digested(frame(spark, [(1, "a"), (2, "A"), (3, "b")])))
-    again = digest_index.DigestIndex(spark, "index_of_a_test", buckets=4)
-    again.append(digest_index.digested(frame(spark, [(9, "a"), (4, "c"), (5, "c")])))
-    assert sorted((r["keep_id"], r["group_size"]) for r in again.resolve().collect()) == [(3, 1), (5, 2), (9, 3)]
+    index = digest_index.DigestIndex(spark, "index_of_a_test", expected_rows=30_000_000)
+    first = index.append(digest_index.digested(frame(spark, [(1, "a"), (2, "A"), (3, "b")])))
+    assert rows_of(first, "keep_id", "n_rows", "known") == [(2, 2, False), (3, 1, False)]
+    again = digest_index.DigestIndex(spark, "index_of_a_test")
+    assert again.buckets == 30
+    second = again.append(digest_index.digested(frame(spark, [(9, "a"), (4, "c"), (5, "c")])))
+    assert rows_of(second, "keep_id", "n_rows", "known") == [(5, 2, False), (9, 1, True)]
+    third = again.append(digest_index.digested(frame(spark, [(1, "a"), (None, "b")])))
+    assert rows_of(third, "keep_id", "n_rows", "known") == [(1, 1, True), (None, 1, True)]
+    # The anti-join keeps a digest from being indexed twice; known ones are in the updates.
+    assert spark.table("index_of_a_test").count() == 3 and spark.table("index_of_a_test_updates").count() == 3
+    assert sorted((r["keep_id"], r["group_size"]) for r in again.resolve().collect()) == [(3, 2), (5, 2), (9, 4)]
     plan = again.resolve()._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     spark.sql("DROP TABLE index_of_a_test")
+    spark.sql("DROP TABLE index_of_a_test_updates")
+
+
+def test_one_row_of_a_group_without_ids_stays(spark):
+    rows = [(None, "x"), (None, "X"), (None, "x"), (None, None), (None, ""), (3, "y"), (None, "y"), (3, "y"), (2, "y")]
+    found = rows_of(digest_index.deduplicate(frame(spark, rows)), "doc_id", "keep_id", "group_size", "kept")
+    expected = [(None, None, 3, True)] + [(None, None, 3, False)] * 2 + [(None, None, 2, True), (None, None, 2, False)]
+    expected += [(3, 3, 4, True)] * 2 + [(2, 3, 4, False), (None, 3, 4, False)]
+    assert found == sorted(expected, key=repr)
 
 
 def near_lines(a: list[bytes], b: list[bytes]) -> bool:

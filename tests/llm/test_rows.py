@@ -9,7 +9,7 @@ import pytest
 
 from fraudspark.llm import exchange, jaccard_join, repeated_phrases
 from tests.llm.corpus import frame, prose, rows_of, words_of
-from tests.llm.test_exact import grams, sha
+from tests.llm.test_exact import grams, linked_components, sha
 
 
 @pytest.fixture
@@ -41,23 +41,10 @@ def test_blocks_are_bounded_whatever_the_ids(spark, small_blocks):
 
 def test_operators_with_few_ids(spark, small_blocks):
     rows = rows_with_few_ids()
-    up: dict = {}
-
-    def top(x):
-        while x in up:
-            x = up[x]
-        return x
-
-    sets = {(i, grams(t)) for i, t in rows if i is not None and grams(t)}
-    for i, a in sets:
-        for j, b in sets:
-            if 100 * len(a & b) >= 80 * len(a | b) and top(i) != top(j):
-                up[max(top(i), top(j))] = min(top(i), top(j))
-    by_set = {g: top(i) for i, g in sets}
-    expected = [(i, len(grams(t)), by_set.get(grams(t)) if grams(t) else i) for i, t in rows]
+    expected = [(i, len(grams(t)), c) for (i, t), c in zip(rows, linked_components(rows), strict=True)]
     found = jaccard_join.jaccard_join(frame(spark, rows))
     assert rows_of(found, "doc_id", "n_shingles", "component_id") == sorted(expected, key=repr)
-    assert by_set[grams(rows[4][1])] == 8
+    assert next(c for (_, t), c in zip(rows, linked_components(rows), strict=True) if t == rows[4][1]) == 8
 
     last = 2**63 - 1
     first: dict = defaultdict(lambda: last)
