@@ -7,9 +7,10 @@ scaled to length one, are projected on the leading singular vectors of the label
 
 The labelled vectors, at most ``2 * SAMPLE`` of ``RANK`` numbers, are broadcast. Every document is
 compared with all of them, by cosine, in blocks; the labels of the ``NEIGHBOURS`` most similar ones
-are averaged with their similarity as weight. The frequencies belong to the classifier and come from
-the same sample as its vectors: at most ``SAMPLE`` rows of each label, by a hash of their id, of texts
-up to ``toxicity.SAMPLE_CHARS`` characters. Documents are read whole.
+are averaged with their similarity as weight. The vectors come from a sample: at most ``SAMPLE`` rows of
+each label, by a hash of their id, of texts up to ``toxicity.SAMPLE_CHARS`` characters. Document
+frequencies are counted over all documents, in one pass that returns a sum per column and task.
+Documents are read whole.
 
 Defined cases: a null or empty text, like any without positive similarity, gets the mean label of
 the sample; without labelled rows every score is 0; repeated rows each get a row.
@@ -22,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from fraudspark.llm import shared, words
 from fraudspark.llm.toxicity import sample
@@ -68,16 +70,40 @@ def counts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
+def frequencies(docs: DataFrame) -> tuple[int, np.ndarray]:
+    """Number of documents, and in how many of them each column's term occurs."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The last number is that of the documents.
+        total = np.zeros(COLUMNS + 1, np.int64)
+        for batch in batches:
+            data, offsets = words.texts_of(batch["text"])
+            total[-1] += batch.num_rows
+            for a, b in _blocks(offsets):
+                found = counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                total[:-1] += np.count_nonzero(found, axis=0)
+        yield pa.RecordBatch.from_pydict({"k": pa.array(np.arange(COLUMNS + 1, dtype=np.int32)), "n": pa.array(total)})
+
+    made = docs.select(shared.binary_text()).mapInArrow(work, "k int, n bigint").groupBy("k").agg(F.sum("n").alias("n"))
+    out = np.zeros(COLUMNS + 1, np.int64)
+    for row in made.collect():
+        out[row["k"]] = row["n"]
+    return int(out[-1]), out[:-1]
+
+
 class Model:
-    """Weights, singular vectors and the labelled vectors of a sample of (label, text)."""
+    """Weights, singular vectors and the labelled vectors of a sample of (label, text).
+
+    ``among`` and ``present`` are the number of documents and of those with each term.
+    """
 
-    def __init__(self, rows: list[tuple[int, str]]):
+    def __init__(self, rows: list[tuple[int, str]], among: int, present: np.ndarray):
         self.labels = np.array([label for label, _ in rows], np.float32)
         data, offsets = words.texts_of(pa.array([t.encode() for _, t in rows], pa.large_binary()))
         found = np.concatenate(
             [counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in _blocks(offsets)]
         )
-        self.weight = np.log((1 + len(rows)) / (1 + (found > 0).sum(axis=0))).astype(np.float32) + 1
+        self.weight = np.log((1 + among) / (1 + present)).astype(np.float32) + 1
         weighted = self._weighted(found)
         _, vectors = np.linalg.eigh(weighted.T @ weighted)
         self.axes = np.ascontiguousarray(vectors[:, ::-1][:, :RANK])
@@ -139,4 +165,5 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Learn from labelled rows that aren't held out and score all rows."""
     held_out = shared.held_out(5, 0)
     rows = sample(docs, labels, "quality", ~held_out, SAMPLE)
-    return score(docs.withColumn("held_out", held_out), Model(rows) if rows else None)
+    model = Model(rows, *frequencies(docs)) if rows else None
+    return score(docs.withColumn("held_out", held_out), model)

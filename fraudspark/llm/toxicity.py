@@ -226,14 +226,14 @@ class _Part:
 
 
 def sample(docs: DataFrame, labels: DataFrame, column: str, learn: Column, most: int = SAMPLE) -> list[tuple[int, str]]:
-    """At most ``most`` labelled texts of each label, by the hash of their id."""
-    known = labels.where(learn & F.col(column).isin(0, 1)).select("doc_id", F.col(column).alias("label"))
+    """At most ``most`` labelled texts of each label, by the hash of their id; of two labels the larger counts."""
+    known = labels.where(learn & F.col(column).isin(0, 1)).groupBy("doc_id").agg(F.max(column).alias("label"))
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return []
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, 1.3 * most / n)])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(10**9)) / 10**9
-    chosen = known.where(draw < share[F.col("label")]).dropDuplicates(["doc_id"]).orderBy(draw).limit(2 * most * len(counts))
+    chosen = known.where(draw < share[F.col("label")]).orderBy(draw, "doc_id").limit(2 * most * len(counts))
     texts = docs.select("doc_id", "text").where(F.length("text").between(1, SAMPLE_CHARS))
     # The chosen ids are bounded by ``most``.
     rows = texts.join(F.broadcast(chosen), "doc_id").select("label", "doc_id", "text").orderBy("doc_id", "text")

@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 
 from fraudspark.llm import language_id, quality, toxicity, words
-from tests.llm.corpus import docs, empty, prose, rows_of, texts  # noqa: F401
+from tests.llm.corpus import docs, empty, frame, prose, rows_of, texts  # noqa: F401
 
 LEXICON = {
     "en": "the of and thing with was from that this ending other reading".split(),
@@ -145,3 +145,28 @@ def test_slopes_of_toxicity():
     for name in slopes:
         at = np.unravel_index(np.abs(slopes[name]).argmax(), slopes[name].shape)
         assert slopes[name][at] == pytest.approx(numeric(loss, model.p, name, at), rel=0.05, abs=2e-3), name
+
+
+def test_frequencies_and_votes_by_brute_force(spark):
+    rng = random.Random(12)
+    texts = ["".join(rng.choice("abcd  E1.\n") for _ in range(rng.choice((0, 2, 9, 60, 300)))) for _ in range(60)] + [None, ""]
+    texts += ["very very good text", "Ünïcode ünïcode"]
+    among, present = quality.frequencies(frame(spark, list(enumerate(texts))).repartition(5))
+    found = []
+    for t in texts:
+        data, offsets = words.texts_of(pa.array([(t or "").encode()], pa.large_binary()))
+        found.append(quality.counts(data, offsets)[0])
+    assert among == len(texts) and present.tolist() == [sum(f[k] > 0 for f in found) for k in range(quality.COLUMNS)]
+    assert quality.frequencies(frame(spark, []))[0] == 0
+
+    rows = [(k % 2, t) for k, t in enumerate(texts) if t]
+    model = quality.Model(rows, among, present)
+    for t in texts:
+        data, offsets = words.texts_of(pa.array([(t or "").encode()], pa.large_binary()))
+        own = np.sqrt(quality.counts(data, offsets)[0]) * (np.log((1 + among) / (1 + present)) + 1)
+        own = (own / (np.linalg.norm(own) or 1)) @ model.axes
+        near = [(float(own @ v) / (np.linalg.norm(own) or 1), label) for v, (label, _) in zip(model.vectors, rows, strict=True)]
+        near = [(max(c, 0.0), label) for c, label in sorted(near, reverse=True)[: quality.NEIGHBOURS]]
+        total = sum(c for c, _ in near)
+        plain = sum(c * label for c, label in near) / total if total > 1e-9 else np.mean([label for label, _ in rows])
+        assert model.scores(data, offsets)[0] == pytest.approx(plain, abs=2e-3)
