@@ -2,100 +2,113 @@
 
 Rows of one key and micro-batch are ordered by (time, id). Their number is bounded by the source's
 limit per trigger, and the state of a key is one number (first sight) or the times of the last span
-(trailing counts). Rows without a key bypass the state.
+(trailing counts). Keys share groups by their hash, and a group answers all of its rows of a
+micro-batch at once (``streaming/blocks.py``). Rows without a key bypass the state.
 """
 
 from __future__ import annotations
 
-import bisect
 import time
-from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Row
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming import StatefulProcessorHandle
 
 from fraudspark.config import MICROS, EngineConfig
 from fraudspark.functions.text import blank_to_null
+from fraudspark.streaming.blocks import GROUP, BlockProcessor, runs, through_blocks
 
 # How far ahead of the clock an event's time may be before it stops moving the trailing span.
 _AHEAD_US = 3600 * MICROS
-_KEY, _US, _ID, _FLAG = "_key", "_us", "_id", "_flag"
-_SPARE_KEYS = 1024
-
-
-def _out(row: Row, flag: bool | int | None) -> Row:
-    values = row.asDict()
-    for name in (_KEY, _US, _ID):
-        values.pop(name)
-    return Row(**values, **{_FLAG: flag})
-
-
-class _Keyed(StatefulProcessor):
-    """Rows of a key in order of time and id; rows that have no key pass through spare keys without state."""
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        if key[0][:1] != "=":
-            for row in rows:
-                yield _out(row, None)
-            return
-        batch = sorted(rows, key=lambda r: (r[_US], r[_ID] or ""))
-        for row, flag in zip(batch, self.flags([r[_US] for r in batch]), strict=True):
-            yield _out(row, flag)
-
-    def flags(self, times: list[int]) -> list:
+_NAME, _US, _ID, _FLAG = "_name", "_us", "_id", "_flag"
+# Groups of keys; checkpoints depend on their number.
+_GROUPS = 1024
+_NARROW = T.StructType().add(_NAME, "string").add(_US, "long").add(_ID, "string")
+
+
+class _Keyed(BlockProcessor):
+    """Flags of a key's rows in order of time and id; rows that have no key get none."""
+
+    flag: T.DataType
+
+    def __init__(self) -> None:
+        super().__init__(_NARROW, T.StructType([T.StructField(_FLAG, self.flag)]))
+
+    def answers(self, rows: pa.Table, keyed: bool, timer_values) -> dict[str, pa.Array]:
+        arrow = pa.bool_() if isinstance(self.flag, T.BooleanType) else pa.int64()
+        if not keyed:
+            return {_FLAG: pa.nulls(rows.num_rows, arrow)}
+        by_time = pc.sort_indices(
+            pa.table({"us": rows[_US], "id": pc.fill_null(rows[_ID], "")}), [("us", "ascending"), ("id", "ascending")]
+        ).to_numpy()
+        order, starts, keys = runs(rows[_NAME].take(pa.array(by_time)))
+        order = by_time[order]
+        times = rows[_US].to_numpy()[order]
+        out = np.empty(len(order), bool if isinstance(self.flag, T.BooleanType) else np.int64)
+        for key, a, b in zip(keys, starts.tolist(), [*starts[1:].tolist(), len(order)], strict=True):
+            out[order[a:b]] = self.flags((key,), times[a:b])
+        return {_FLAG: pa.array(out, arrow)}
+
+    def flags(self, key: tuple[str], times: np.ndarray) -> np.ndarray:
         raise NotImplementedError
 
-    def close(self) -> None:
-        pass
-
 
 class FirstSight(_Keyed):
     """Flags rows whose key was seen before and is not expired. The state is the time it was set."""
 
+    flag = T.BooleanType()
+
     def __init__(self, ttl_us: int | None, forget: bool):
+        super().__init__()
         self.ttl_us, self.forget = ttl_us, forget
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         ttl_ms = self.ttl_us // 1000 if self.forget else None
-        self.set_at = handle.getValueState("set_at", "us bigint", ttl_ms)
+        self.set_at = handle.getMapState("set_at", "key string", "us bigint", ttl_ms)
 
-    def flags(self, times: list[int]) -> list[bool]:
-        known = self.set_at.get()
+    def flags(self, key: tuple[str], times: np.ndarray) -> np.ndarray:
+        known = self.set_at.getValue(key)
         before = None if known is None else known[0]
-        at, flags = before, []
-        for us in times:
+        at, seen, k = before, np.ones(len(times), bool), 0
+        while k < len(times):
             # A row that comes in late, from before the key was set, sees the later state.
-            seen = at is not None and (self.ttl_us is None or us < at + self.ttl_us)
-            flags.append(seen)
-            if not seen:
-                at = us
+            if at is not None:
+                k = len(times) if self.ttl_us is None else int(np.searchsorted(times, at + self.ttl_us))
+            if k < len(times):
+                at, seen[k] = int(times[k]), False
+                k += 1
         if at != before:
-            self.set_at.update((at,))
-        return flags
+            self.set_at.updateValue(key, (at,))
+        return seen
 
 
 class Trailing(_Keyed):
     """Rows of the key in [t - span, t], as of each row."""
 
+    flag = T.LongType()
+
     def __init__(self, span_us: int, forget: bool = False):
+        super().__init__()
         self.span_us, self.forget = span_us, forget
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         # An idle card may go once no row of its span can still come in order.
         ttl_ms = 2 * self.span_us // 1000 + _AHEAD_US // 1000 if self.forget else None
-        self.recent = handle.getValueState("recent", "times array<bigint>", ttl_ms)
+        self.recent = handle.getMapState("recent", "key string", "times array<bigint>", ttl_ms)
 
-    def flags(self, fresh: list[int]) -> list[int]:
-        known = self.recent.get()
-        times = sorted([*([] if known is None else known[0]), *fresh])
-        counts = [bisect.bisect_right(times, us) - bisect.bisect_left(times, us - self.span_us) for us in fresh]
+    def flags(self, key: tuple[str], fresh: np.ndarray) -> np.ndarray:
+        known = self.recent.getValue(key)
+        times = np.sort(np.concatenate([np.array([] if known is None else known[0], np.int64), fresh]), kind="stable")
+        counts = np.searchsorted(times, fresh, "right") - np.searchsorted(times, fresh - self.span_us, "left")
         # A time from the future is counted but must not push the others out.
         limit = time.time_ns() // 1000 + _AHEAD_US
-        past = bisect.bisect_right(times, limit)
+        past = int(np.searchsorted(times, limit, "right"))
         newest = times[past - 1] if past else times[0]
-        self.recent.update((times[bisect.bisect_left(times, newest - self.span_us) :],))
+        self.recent.updateValue(key, (times[np.searchsorted(times, newest - self.span_us, "left") :].tolist(),))
         return counts
 
 
@@ -108,19 +121,14 @@ def _through_state(
     usable = us.isNotNull()
     for k in keys:
         usable = usable & blank_to_null(F.col(k)).isNotNull()
-    spare = F.concat(F.lit("-"), F.pmod(F.xxhash64(row_id), F.lit(_SPARE_KEYS)).cast("string"))
-    own = F.concat(F.lit("="), F.to_json(F.array(*[F.col(k).cast("string") for k in keys])))
+    own = F.to_json(F.array(*[F.col(k).cast("string") for k in keys]))
     times = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)]
-    packed = df.withColumns(
-        {_KEY: F.when(usable, own).otherwise(spare), _US: us, _ID: F.col(row_id).cast("string")}
-    ).withColumns({c: F.unix_micros(c) for c in times})
-    plain = packed.drop(_KEY, _US, _ID).schema
-    made = packed.groupBy(_KEY).transformWithState(
-        statefulProcessor=processor,
-        outputStructType=T.StructType([*plain.fields, T.StructField(_FLAG, flag)]),
-        outputMode="Append",
-        timeMode=time_mode,
+    packed = df.withColumns({_NAME: F.when(usable, own), _US: us, _ID: F.col(row_id).cast("string")})
+    group = F.concat(F.lit("="), F.pmod(F.xxhash64(_NAME), F.lit(_GROUPS)).cast("string"))
+    packed = packed.withColumns(
+        {GROUP: F.when(F.col(_NAME).isNotNull(), group)} | {c: F.unix_micros(c) for c in times}
     )
+    made = through_blocks(packed, processor, time_mode)
     back = made.withColumns({c: F.timestamp_micros(c) for c in times})
     return back.select(*df.columns, F.coalesce(_FLAG, without_key.cast(flag)).alias(name))
 
