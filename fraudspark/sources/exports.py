@@ -6,12 +6,17 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fraudspark.sources import ranges
 
+# Text of a chunk that goes to the writing task; it holds some thousands of them at once.
+_CHUNK_CHARS = 8_192
+_CHUNKS = "part int, number bigint, value string"
+
 
 def write_json(df: DataFrame, path: str, mode: str = "error") -> None:
     """One JSON object per line, written in parallel."""
@@ -23,20 +28,45 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame
 
 
 def write_wrapped_json(df: DataFrame, path: str, metadata: dict, field: str = "transactions") -> None:
-    """One document ``{"metadata": .., field: [..]}``. It is one file, so one task writes it."""
+    """One document ``{"metadata": .., field: [..]}``, with the rows in their order.
+
+    It is one file, so one task writes it; all others make the text, in chunks of some lines.
+    """
     head = json.dumps({"metadata": metadata})[:-1] + f', "{field}": ['
     rows = df.select(F.to_json(F.struct(*df.columns)).alias("value"))
 
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        partition, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            texts, held, size = [], [], 0
+            for value in batch["value"].to_pylist():
+                held.append("," + value)
+                size += len(value)
+                if size >= _CHUNK_CHARS:
+                    texts.append("\n".join(held))
+                    held, size = [], 0
+            if held:
+                texts.append("\n".join(held))
+            numbers = pa.array(range(number, number + len(texts)), pa.int64())
+            number += len(texts)
+            partitions = pa.array([partition] * len(texts), pa.int32())
+            yield pa.RecordBatch.from_pydict({"part": partitions, "number": numbers, "value": pa.array(texts, pa.string())})
+
     def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = True
+        seen = 0
         for batch in batches:
-            values = [v if k == 0 and first else "," + v for k, v in enumerate(batch["value"].to_pylist())]
-            if values:
-                yield pa.RecordBatch.from_pydict({"value": [head, *values] if first else values})
-                first = False
-        yield pa.RecordBatch.from_pydict({"value": [head, "]}"] if first else ["]}"]})
+            values = batch["value"].to_pylist()
+            # The head comes first, and the chunk behind it has nothing to follow.
+            if seen <= 1 < seen + len(values):
+                values[1 - seen] = values[1 - seen][1:]
+            seen += len(values)
+            yield pa.RecordBatch.from_pydict({"value": pa.array(values, pa.string())})
+        yield pa.RecordBatch.from_pydict({"value": ["]}"]})
 
-    rows.coalesce(1).mapInArrow(lines, "value string").write.text(path)
+    made = rows.mapInArrow(chunks, _CHUNKS)
+    begin = df.sparkSession.createDataFrame([(-1, -1, head)], _CHUNKS)
+    ordered = made.unionByName(begin).repartition(1).sortWithinPartitions("part", "number").select("value")
+    ordered.mapInArrow(lines, "value string").write.text(path)
 
 
 def read_wrapped_json(

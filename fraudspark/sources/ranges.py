@@ -172,6 +172,12 @@ def _records(path: str, start: int, stop: int, inside: bool, depth: int, begin:
                 held += data[done:]
 
 
+def _tasks(ranges: list[tuple[str, int, int]], cores: int) -> int:
+    """Four tasks a core, or one for every 64 MB if that is more; never more than ranges."""
+    size = sum(stop - start for _, start, stop in ranges)
+    return min(len(ranges), max(4 * cores, -(-size // RANGE_BYTES)))
+
+
 def read_records(
     spark: SparkSession, path: str, field: str = "transactions", range_bytes: int = RANGE_BYTES
 ) -> DataFrame:
@@ -180,7 +186,9 @@ def read_records(
     key = f'"{field}"'.encode()
     if not ranges:
         return spark.createDataFrame([], RECORDS)
-    listed = spark.createDataFrame(ranges, "path string, start bigint, stop bigint").repartition(len(ranges))
+    # Small ranges share tasks, so that the tasks grow with the bytes and not with the number of cuts.
+    n_tasks = _tasks(ranges, spark.sparkContext.defaultParallelism)
+    listed = spark.createDataFrame(ranges, "path string, start bigint, stop bigint").repartition(n_tasks)
 
     def note(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,7 +210,7 @@ def read_records(
     holds = F.col("begin") >= F.col("start")
     lowest = F.when(holds, F.col("first.low")).otherwise(F.col("own.low")) + F.col("depth")
     placed = placed.withColumn("ended", F.coalesce(F.min(lowest).over(before) < 2, F.lit(False))).where("NOT ended")
-    tasks = placed.select("path", "start", "stop", "inside", "depth", "begin").repartition(len(ranges))
+    tasks = placed.select("path", "start", "stop", "inside", "depth", "begin").repartition(n_tasks)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
