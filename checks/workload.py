@@ -14,6 +14,10 @@ from fraudspark.config import FLUTTERWAVE, MASTERCARD, MPESA, PESAPAL, PROVIDERS
 from fraudspark.functions.plan import computed_once
 from fraudspark.operators.parse import per_provider
 from fraudspark.sources.refdata import CURRENCY_ROWS, MCC_ROWS
+from fraudspark.sources.wire import with_min_partitions
+
+# Rows of a task that makes and parses messages.
+TASK_ROWS = 100_000
 
 # The few functions that the two engines name differently.
 _SPARK = {
@@ -166,8 +170,17 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_of(table(spark, sf_dir, "events"))
 
 
+def spread(events: DataFrame) -> DataFrame:
+    """The events in tasks of bounded length: messages take far longer to make and parse than to read.
+
+    The count comes from the footers of the files.
+    """
+    cores = events.sparkSession.sparkContext.defaultParallelism
+    return with_min_partitions(events, max(cores, -(-events.count() // TASK_ROWS)), "event_id")
+
+
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid = spark.sql(_fill(_PAYMENTS, _SPARK), events=table(spark, sf_dir, "events"))
+    paid = spark.sql(_fill(_PAYMENTS, _SPARK), events=spread(table(spark, sf_dir, "events")))
     return computed_once(paid)
 
 

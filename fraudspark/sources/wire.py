@@ -44,7 +44,7 @@ def read_table(
     return (reader if path is None else reader.schema(schemas.WIRE)).load(path)
 
 
-def with_min_partitions(records: DataFrame, wanted: int) -> DataFrame:
+def with_min_partitions(records: DataFrame, wanted: int, by: str = "offset") -> DataFrame:
     """Spread a table of few files over ``wanted`` tasks before costly per-message work.
 
     The counterpart of the stream source's ``minPartitions``; a table that already has as many
@@ -52,7 +52,7 @@ def with_min_partitions(records: DataFrame, wanted: int) -> DataFrame:
     """
     if records.rdd.getNumPartitions() >= wanted:
         return records
-    return records.repartition(wanted, "offset")
+    return records.repartition(wanted, by)
 
 
 def provider_of_topic(topics: Mapping[str, str]) -> Column:
