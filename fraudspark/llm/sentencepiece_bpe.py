@@ -33,30 +33,41 @@ from pyspark.sql import DataFrame
 from fraudspark.llm import shared
 
 SPACE = "▁"
-#: Bytes of results that each cache holds at most, and what an entry costs besides its texts.
-CACHE_BYTES, ENTRY_BYTES = 16_000_000, 180
+#: Bytes of results that each cache holds at most, and what an entry costs besides its texts; a pair of tokens is a number.
+CACHE_BYTES, ENTRY_BYTES, PAIR_BYTES = 32_000_000, 180, 100
 _RUNS = re.compile(" *[^ ]+| +")
 
 
 class _Bounded(dict):
-    """A dictionary that fills itself by a function and starts anew when it is full."""
+    """A dictionary that fills itself by a function and holds the results asked for of late.
 
-    def __init__(self, fill):
+    When half of its bytes are used it begins anew and keeps what it had as the older half, from which
+    results that are asked for again come back; the rest goes at the next such turn. A result of more
+    than a 16th of the bytes is not kept.
+    """
+
+    def __init__(self, fill, entry: int = ENTRY_BYTES):
         super().__init__()
-        self._fill, self._left = fill, CACHE_BYTES
+        self._fill, self._entry, self._older, self._left = fill, entry, {}, CACHE_BYTES // 2
 
     def __missing__(self, key):
-        value = self._fill(key)
-        size = ENTRY_BYTES + (2 * len(key) + len(value) if isinstance(key, str) else 0)
+        value = self._older.get(key)
+        if value is None:
+            value = self._fill(key)
+        size = self._entry + (2 * len(key) + len(value) if isinstance(key, str) else 0)
+        if size > CACHE_BYTES // 16:
+            return value
         if size > self._left:
-            self.clear()
+            self._older = dict(self)
+            super().clear()
+            self._left = CACHE_BYTES // 2
         self._left -= size
         self[key] = value
         return value
 
     def clear(self) -> None:
         super().clear()
-        self._left = CACHE_BYTES
+        self._older, self._left = {}, CACHE_BYTES // 2
 
 
 class Bpe:
@@ -86,7 +97,7 @@ class Bpe:
             raise ValueError("the model needs byte tokens, a token per character, and no line end")
         self.packed = [struct.pack("<I", i) for i in self.ids]
         self.byte_ids = {v: struct.pack("<I", i) for v, i in self.bytes.items()}
-        self._pairs = _Bounded(self._fits)
+        self._pairs = _Bounded(self._fits, PAIR_BYTES)
         #: Ids of a word after one space, of a word without it, and of other runs, as bytes.
         self.spaced = _Bounded(lambda w: self._pack(self._encode(SPACE + w)))
         self.bare = _Bounded(lambda w: self._pack(self._encode(w)))
@@ -111,12 +122,15 @@ class Bpe:
         self.text = pieces
         self.rank = {p: k for k, p in enumerate(pieces)}
         self.split: list[tuple[int, int] | None] = []
-        self.automaton = ahocorasick.Automaton()
+        self.lengths = [len(p) for p in pieces]
+        self.single = {p: k for k, p in enumerate(pieces) if len(p) == 1}
+        #: Tokens of several characters; those of one are at hand wherever none of these fits.
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for k, piece in enumerate(pieces):
             parts = self._merge(piece, below=k) if len(piece) > 1 else []
             self.split.append((parts[0], parts[1]) if len(parts) == 2 else None)
-            if len(piece) == 1 or len(parts) == 2 and self.rank.get(piece) == k:
-                self.automaton.add_word(piece, (k, len(piece)))
+            if len(parts) == 2 and self.rank.get(piece) == k:
+                self.automaton.add_word(piece, k)
         self.automaton.make_automaton()
 
     def _merge(self, piece: str, below: int) -> list[int]:
@@ -129,9 +143,9 @@ class Bpe:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.rank[p] for p in parts]
 
-    def _fits(self, pair: tuple[int, int]) -> bool:
+    def _fits(self, pair: int) -> bool:
         """Whether the tokens stay apart: no merge across the border comes in time."""
-        left, right = pair
+        left, right = divmod(pair, len(self.text))
         limit = len(self.text)
         while True:
             across = self.rank.get(self.text[left] + self.text[right])
@@ -147,21 +161,29 @@ class Bpe:
                 limit, right = right + 1, b[0]
 
     def _encode(self, piece: str) -> list[int]:
-        """Token numbers of a piece without inner spaces; -1 - c for a character of no token."""
-        last = [-1] * (len(piece) + 1)
-        width = [1] * (len(piece) + 1)
-        done, pairs = 0, self._pairs
-        for end, (token, n) in self.automaton.iter(piece):
-            end += 1
-            if done >= end:
-                continue
-            start = end - n
-            if start == 0 or last[start] < 0 or pairs[last[start], token]:
-                last[end], width[end], done = token, n, end
+        """Token numbers of a piece without inner spaces; -1 - c for a character of no token.
+
+        Every prefix has exactly one last token, so where no longer one goes with the token before it,
+        it is the character itself.
+        """
+        last = [None, *map(self.single.get, piece)]
+        lengths, pairs, many, done = self.lengths, self._pairs, len(self.text), 0
+        # The longest match of an end comes first; the start of the piece goes with every token.
+        for end, token in self.automaton.iter(piece):
+            if end >= done:
+                before = last[end + 1 - lengths[token]]
+                if before is None or pairs[before * many + token]:
+                    done = end + 1
+                    last[done] = token
         out, at = [], len(piece)
         while at:
-            out.append(last[at] if last[at] >= 0 else -1 - ord(piece[at - 1]))
-            at -= width[at]
+            token = last[at]
+            if token is None:
+                at -= 1
+                out.append(-1 - ord(piece[at]))
+            else:
+                at -= lengths[token]
+                out.append(token)
         return out[::-1]
 
     def _pack(self, tokens: list[int]) -> bytes:
