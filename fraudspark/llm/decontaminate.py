@@ -23,12 +23,13 @@ count once; extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fraudspark.llm import shared, words
@@ -41,6 +42,12 @@ _TERM_BYTES = bytes(
 
 INDEX = "shard binary, doc_ids array<bigint>, first binary, terms array<binary>, starts binary, positions binary"
 FOUND = "shard binary, place int, doc_id bigint, n_words bigint, spans array<int>, items array<string>, near array<string>"
+COUNTED = (
+    "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean, n_near bigint"
+)
+
+#: A step over Arrow batches in a task.
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
 class Window(NamedTuple):
@@ -105,6 +112,7 @@ def build_index(docs: DataFrame, shard_bytes: int = words.SLICE_BYTES) -> DataFr
                         }
                     ),
                 )
+        shared.give_back()
 
     index = docs.select("doc_id", shared.binary_text()).mapInArrow(shards, INDEX)
     # Shards may agree in all rows, so each key gets a number of its own.
@@ -184,8 +192,9 @@ def _near(anchors: tuple[bytes, ...], postings: dict[bytes, np.ndarray], span: i
     return np.unique(owner[good])
 
 
-def _search(index: DataFrame, items: Items, rank: dict[bytes, int], span: int) -> DataFrame:
-    sent = index.sparkSession.sparkContext.broadcast((items, rank))
+def _look(spark: SparkSession, items: Items, rank: dict[bytes, int], span: int) -> Step:
+    """Looks a slice's items up in shards; only the broadcast holds them."""
+    sent = spark.sparkContext.broadcast((items, rank))
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items, rank = sent.value
@@ -233,20 +242,16 @@ def _search(index: DataFrame, items: Items, rank: dict[bytes, int], span: int) -
                     }
                 )
 
-    return index.mapInArrow(look, FOUND)
+        shared.give_back()
 
+    return look
 
-def search(
-    index: DataFrame,
-    benchmark: DataFrame,
-    window: int = 10,
-    anchors: int = 4,
-    span: int = 40,
-    slice_bytes: int = 64_000_000,
-) -> DataFrame:
-    """Per document: its words, ``spans`` (begin, end of each occurrence in turn), ``items`` with an
-    occurring window and ``near`` items; all lists are sorted by what they hold as text."""
-    found = None
+
+def _looks(
+    index: DataFrame, benchmark: DataFrame, window: int, anchors: int = 4, span: int = 40, slice_bytes: int = 64_000_000
+) -> Iterator[Step]:
+    """One step for each slice of the benchmark, at least one."""
+    none = True
     for part in _slices(benchmark, slice_bytes):
         rank = term_counts(index, {term for _, terms in part for term in terms})
         items = Items(
@@ -257,7 +262,16 @@ def search(
                 for _, terms in part
             ],
         )
-        answer = _search(index, items, rank, span)
+        none = False
+        yield _look(index.sparkSession, items, rank, span)
+    if none:
+        yield _look(index.sparkSession, Items([], [], []), {}, span)
+
+
+def _merged(index: DataFrame, looks: Iterator[Step]) -> DataFrame:
+    found = None
+    for look in looks:
+        answer = index.mapInArrow(look, FOUND)
         found = answer if found is None else found.unionAll(answer)
         if found is not answer:
             found = found.groupBy("shard", "place", "doc_id", "n_words").agg(
@@ -265,43 +279,58 @@ def search(
                 F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
                 F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"),
             )
-    if found is None:
-        found = _search(index, Items([], [], []), {}, span)
     return found
 
 
-def digest(found: DataFrame) -> DataFrame:
-    """Counts and digests of ``search``; the words hit are counted once, however often covered."""
+def search(
+    index: DataFrame,
+    benchmark: DataFrame,
+    window: int = 10,
+    anchors: int = 4,
+    span: int = 40,
+    slice_bytes: int = 64_000_000,
+) -> DataFrame:
+    """Per document: its words, ``spans`` (begin, end of each occurrence in turn), ``items`` with an
+    occurring window and ``near`` items; all lists are sorted by what they hold as text."""
+    return _merged(index, _looks(index, benchmark, window, anchors, span, slice_bytes))
+
+
+def _counted(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Counts and digests of one batch; the words hit are counted once, however often covered."""
+    hits = []
+    for spans in batch["spans"].to_pylist():
+        covered, last = 0, 0
+        for begin, end in sorted(zip(spans[::2], spans[1::2], strict=True)):
+            covered += max(0, end - max(begin, last))
+            last = max(last, end)
+        hits.append(covered)
+    items = [sorted(x) for x in batch["items"].to_pylist()]
+    return pa.RecordBatch.from_pydict(
+        {
+            "doc_id": batch["doc_id"],
+            "n_words": batch["n_words"],
+            "n_hit": pa.array(hits, pa.int64()),
+            "n_items": pa.array([len(x) for x in items], pa.int64()),
+            "items_sha256": pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() for x in items], pa.string()),
+            "contaminated": pa.array([n > 0 for n in hits], pa.bool_()),
+            "n_near": pa.array([len(x) for x in batch["near"].to_pylist()], pa.int64()),
+        }
+    )
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            hits = []
-            for spans in batch["spans"].to_pylist():
-                covered, last = 0, 0
-                for begin, end in sorted(zip(spans[::2], spans[1::2], strict=True)):
-                    covered += max(0, end - max(begin, last))
-                    last = max(last, end)
-                hits.append(covered)
-            items = [sorted(x) for x in batch["items"].to_pylist()]
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "doc_id": batch["doc_id"],
-                    "n_words": batch["n_words"],
-                    "n_hit": pa.array(hits, pa.int64()),
-                    "n_items": pa.array([len(x) for x in items], pa.int64()),
-                    "items_sha256": [hashlib.sha256(",".join(x).encode()).hexdigest() for x in items],
-                    "contaminated": [n > 0 for n in hits],
-                    "n_near": pa.array([len(x) for x in batch["near"].to_pylist()], pa.int64()),
-                }
-            )
 
-    return found.mapInArrow(
-        count,
-        "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, "
-        "contaminated boolean, n_near bigint",
-    )
+def digest(found: DataFrame) -> DataFrame:
+    """Counts and digests of ``search``."""
+    return found.mapInArrow(lambda batches: map(_counted, batches), COUNTED)
+
 
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10, slice_bytes: int = 64_000_000) -> DataFrame:
+    """Index the documents in the shared folder, search it, and count per document.
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """Index the documents in the shared folder, search it, and count per document."""
-    return digest(search(shared.stored(build_index(docs), "postings"), benchmark, window))
+    What one slice finds is counted by the worker that found it: two steps in a row are two workers a core.
+    """
+    index = shared.stored(build_index(docs), "postings")
+    looks = _looks(index, benchmark, window, slice_bytes=slice_bytes)
+    first, second = next(looks), next(looks, None)
+    if second is None:
+        return index.mapInArrow(lambda batches: map(_counted, first(batches)), COUNTED)
+    return digest(_merged(index, chain([first, second], looks)))
