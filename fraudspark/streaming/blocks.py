@@ -5,12 +5,14 @@ same way. Here rows are cut into blocks first. The wide columns of a block stay
 value that nothing looks into. The few columns that the state needs go to its groups, all rows of a
 block and group as one Arrow value; the answers come back likewise and are put beside the wide columns.
 So a group with very many rows costs a processor little more than a sort of its narrow columns.
+Where several processors follow each other, the wide columns stay packed from the first to the last.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,14 +29,14 @@ _ANSWERED = T.StructType().add(BLOCK, "string").add(KIND, "integer").add(BODY, "
 _PACKED = f"{GROUP} string, {BLOCK} string, {KIND} int, {BODY} binary"
 
 
-def _written(table: pa.Table) -> bytes:
+def written(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema) as writer:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as writer:
         writer.write_table(table)
     return sink.getvalue().to_pybytes()
 
 
-def _read(body: bytes) -> pa.Table:
+def read(body: bytes) -> pa.Table:
     return pa.ipc.open_stream(body).read_all()
 
 
@@ -93,15 +95,40 @@ def runs(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list]:
     return order, starts, [encoded.dictionary[int(c)].as_py() for c in sorted_codes[starts]]
 
 
+@dataclass(frozen=True)
+class Pass:
+    """Rows of one ``group``, which begins with ``=``, meet the state of ``processor``; those without are answered without any.
+
+    Each narrow column is a column of the rows, or of what earlier passes made, or is made of a block of them.
+    """
+
+    processor: BlockProcessor
+    group: str
+    narrow: dict[str, str | Callable[[pa.Table], pa.Array]]
+
+    def columns(self) -> set[str]:
+        return {self.group, *[c for c in self.narrow.values() if isinstance(c, str)]}
+
+
 def through_blocks(rows: DataFrame, processor: BlockProcessor, time_mode: str) -> DataFrame:
     """``rows`` without its narrow columns and ``_key``, with what ``processor`` makes of them.
 
     Rows of one ``_key``, which begins with ``=``, meet its state; those whose key is null are answered without any.
     """
-    narrow, made = processor.narrow.fieldNames()[:-1], processor.made
-    wide = T.StructType([f for f in rows.schema.fields if f.name not in (*narrow, GROUP)])
-    out = T.StructType([*wide.fields, *made.fields[1:]])
-    narrow_schema = processor.narrow
+    names = processor.narrow.fieldNames()[:-1]
+    return through_passes(rows, [Pass(processor, GROUP, {n: n for n in names})], time_mode, {GROUP, *names})
+
+
+def through_passes(rows: DataFrame, passes: list[Pass], time_mode: str, without: set[str]) -> DataFrame:
+    """``rows`` but the columns ``without``, with what the processors make of them, one after the other."""
+    made = [T.StructType(p.processor.made.fields[1:]) for p in passes]
+    # The wide columns of each pass: what comes out in the end or is needed later.
+    fields, wide = list(rows.schema.fields), []
+    for k, of_pass in enumerate(made):
+        needed = set().union(*[p.columns() for p in passes[k + 1 :]])
+        wide.append([f.name for f in fields if f.name not in without or f.name in needed])
+        fields += of_pass.fields
+    out = T.StructType([f for f in fields if f.name not in without])
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         partition, number, held, n, size = TaskContext.get().partitionId(), 0, [], 0, 0
@@ -111,22 +138,21 @@ def through_blocks(rows: DataFrame, processor: BlockProcessor, time_mode: str) -
                 held.append(part)
                 n, size = n + part.num_rows, size + part.nbytes
                 if n >= _BLOCK_ROWS or size >= _BLOCK_BYTES:
-                    yield from cut(held, f"{partition}-{number}")
+                    yield from cut(pa.Table.from_batches(held), 0, f"{partition}-{number}")
                     number, held, n, size = number + 1, [], 0, 0
         if n:
-            yield from cut(held, f"{partition}-{number}")
+            yield from cut(pa.Table.from_batches(held), 0, f"{partition}-{number}")
 
-    def cut(held: list[pa.RecordBatch], name: str) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(held)
-        body = _written(table.select(wide.fieldNames()))
-        block = f"{name}-{hashlib.sha256(body).hexdigest()[:16]}"
+    def cut(table: pa.Table, k: int, name: str) -> Iterator[pa.RecordBatch]:
+        body, of_pass = written(table.select(wide[k])), passes[k]
         # Blocks have the same names and contents if a task runs again over the same rows.
+        block = name if k else f"{name}-{hashlib.sha256(body).hexdigest()[:16]}"
         own = f"-{block}"
-        columns = [_flat(table[c]) for c in narrow] + [pa.array(np.arange(table.num_rows, dtype=np.int32))]
-        few = pa.RecordBatch.from_arrays(
-            [c.cast(f.type) for c, f in zip(columns, to_arrow_schema(narrow_schema), strict=True)], schema=to_arrow_schema(narrow_schema)
-        )
-        order, starts, groups = runs(table[GROUP])
+        columns = [_flat(table[c] if isinstance(c, str) else c(table)) for c in of_pass.narrow.values()]
+        columns.append(pa.array(np.arange(table.num_rows, dtype=np.int32)))
+        schema = to_arrow_schema(of_pass.processor.narrow)
+        few = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+        order, starts, groups = runs(table[of_pass.group])
         few = few.take(pa.array(order))
         ends = [*starts[1:].tolist(), table.num_rows]
         bodies = [few.slice(a, b - a).serialize().to_pybytes() for a, b in zip(starts.tolist(), ends, strict=True)]
@@ -139,26 +165,35 @@ def through_blocks(rows: DataFrame, processor: BlockProcessor, time_mode: str) -
             {GROUP: groups, BLOCK: [block] * n, KIND: pa.array([kind] * n, pa.int32()), BODY: pa.array(bodies, pa.binary())}
         )
 
-    def unpack(table: pa.Table) -> pa.Table:
+    def whole(table: pa.Table, k: int) -> pa.Table:
+        """The wide columns of a block with the answers of a pass."""
         kinds, bodies = table[KIND].to_pylist(), table[BODY]
-        whole = _read(bodies[kinds.index(_WIDE)].as_py())
-        arrow = to_arrow_schema(made)
+        rows = read(bodies[kinds.index(_WIDE)].as_py())
+        arrow = to_arrow_schema(passes[k].processor.made)
         parts = [
-            pa.ipc.read_record_batch(pa.py_buffer(b.as_py()), arrow) for k, b in zip(kinds, bodies, strict=True) if k == _ANSWERS
+            pa.ipc.read_record_batch(pa.py_buffer(b.as_py()), arrow) for b, kind in zip(bodies, kinds, strict=True) if kind == _ANSWERS
         ]
         answers = pa.Table.from_batches(parts, arrow).combine_chunks()
         answers = answers.take(pa.array(np.argsort(answers[AT].to_numpy(), kind="stable")))
-        if answers.num_rows != whole.num_rows:
-            raise RuntimeError(f"a block of {whole.num_rows} rows has {answers.num_rows} answers")
-        for f in made.fields[1:]:
-            whole = whole.append_column(f.name, answers[f.name])
-        return whole
+        if answers.num_rows != rows.num_rows:
+            raise RuntimeError(f"a block of {rows.num_rows} rows has {answers.num_rows} answers")
+        for f in made[k].fields:
+            rows = rows.append_column(f.name, answers[f.name])
+        return rows
+
+    def again(k: int) -> Callable[[pa.Table], pa.Table]:
+        return lambda table: pa.Table.from_batches(cut(whole(table, k), k + 1, table[BLOCK][0].as_py()))
+
+    def unpack(table: pa.Table) -> pa.Table:
+        return whole(table, len(passes) - 1).select(out.fieldNames())
 
     cuts = rows.mapInArrow(pack, _PACKED)
-    answered = cuts.groupBy(GROUP).transformWithState(
-        statefulProcessor=processor,
-        outputStructType=_ANSWERED,
-        outputMode="Append",
-        timeMode=time_mode,
-    )
-    return answered.groupBy(BLOCK).applyInArrow(unpack, out)
+    for k, of_pass in enumerate(passes):
+        blocks = cuts.groupBy(GROUP).transformWithState(
+            statefulProcessor=of_pass.processor,
+            outputStructType=_ANSWERED,
+            outputMode="Append",
+            timeMode=time_mode,
+        ).groupBy(BLOCK)
+        cuts = blocks.applyInArrow(unpack, out) if of_pass is passes[-1] else blocks.applyInArrow(again(k), _PACKED)
+    return cuts
